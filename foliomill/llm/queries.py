@@ -6,14 +6,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliomill.llm.spans import shared_span_pairs
+from foliomill.llm.tokenize import token_counts, token_ids
+from foliomill.llm.truncation import text_records, truncated, truncation_report
 from foliomill.runtime import table
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    return text_records(table(spark, d, "source_texts"), table(spark, d, "candidate_texts"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncated(_texts(spark, d)).where("cut").select("table_name", "record_id")
+
+
+def p1_by_source(spark: SparkSession, d: str) -> DataFrame:
+    return truncation_report(_texts(spark, d))
+
+
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    return token_ids(table(spark, d, "documents").select("doc_id", "text"))
+
+
+def p6_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and tokens of each source."""
+    counts = token_counts(table(spark, d, "documents").select("source", "text"))
+    return counts.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_span_pairs(table(spark, d, "documents")).select(
         F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b")
     )
 
 
-QUERIES = {"p8_found": p8_found}
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_by_source": p1_by_source,
+    "p6_ids": p6_ids,
+    "p6_counts": p6_counts,
+    "p8_found": p8_found,
+}
 ORACLES: dict[str, str] = {}
