@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliomill.llm import encoding_repair, scan_repair
 from foliomill.llm.spans import shared_span_pairs
 from foliomill.llm.tokenize import token_counts, token_ids
 from foliomill.llm.truncation import text_records, truncated, truncation_report
@@ -23,6 +24,29 @@ def p1_by_source(spark: SparkSession, d: str) -> DataFrame:
     return truncation_report(_texts(spark, d))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return scan_repair.scanned(_texts(spark, d))
+
+
+def p4_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """The affected records with their text as paragraphs parted by an empty line."""
+    return scan_repair.scanned(_texts(spark, d), repaired=True)
+
+
+def _repairs(spark: SparkSession, d: str) -> DataFrame:
+    model = encoding_repair.fit(table(spark, d, "documents"))
+    return encoding_repair.repaired(table(spark, d, "source_texts"), model)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _repairs(spark, d).select(F.col("record_id").alias("text_id"))
+
+
+def p5_restored(spark: SparkSession, d: str) -> DataFrame:
+    """The affected records with the chain undone, their text, and whether characters are lost for good."""
+    return _repairs(spark, d).withColumnRenamed("record_id", "text_id")
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return token_ids(table(spark, d, "documents").select("doc_id", "text"))
 
@@ -42,6 +66,10 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_by_source": p1_by_source,
+    "p4_found": p4_found,
+    "p4_repaired": p4_repaired,
+    "p5_found": p5_found,
+    "p5_restored": p5_restored,
     "p6_ids": p6_ids,
     "p6_counts": p6_counts,
     "p8_found": p8_found,
