@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliomill.llm import encoding_repair, scan_repair
+from foliomill.llm.mixing import mix, shares
 from foliomill.llm.spans import shared_span_pairs
 from foliomill.llm.tokenize import token_counts, token_ids
 from foliomill.llm.truncation import text_records, truncated, truncation_report
@@ -57,6 +58,14 @@ def p6_counts(spark: SparkSession, d: str) -> DataFrame:
     return counts.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
 
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return shares(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_span_pairs(table(spark, d, "documents")).select(
         F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b")
@@ -72,6 +81,8 @@ QUERIES = {
     "p5_restored": p5_restored,
     "p6_ids": p6_ids,
     "p6_counts": p6_counts,
+    "p7_mix": p7_mix,
+    "p7_shares": p7_shares,
     "p8_found": p8_found,
 }
 ORACLES: dict[str, str] = {}
