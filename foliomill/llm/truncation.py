@@ -23,6 +23,7 @@ from foliomill.runtime import materialize
 #: Months of the language of the corpus.
 MONTHS = "enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|octubre|noviembre|diciembre"
 TAIL = 6000  # characters from the end in which the last words and the closing lines are sought
+ENDING = 600  # characters of what then ends the text that hold its last three words
 CLOSING = 0.15  # share of ends among all uses of an unmarked trigram that shows it may end a text
 RARE_END = 0.004  # share of ends under which a marked trigram is the inside of a sentence
 SUPPORT, MARK_SUPPORT = 3, 300  # ends, and uses, that must have been seen
@@ -69,30 +70,24 @@ def _written(text: Column) -> Column:
     return text.isNotNull() & text.rlike(r"[^\s\x{feff}\x{a0}]")
 
 
-def trigram_counts(texts: DataFrame) -> DataFrame:
-    """(w1, w2, w3, n_in, n_end) over all texts: uses inside, and at the end once closing lines are set aside."""
+def trigram_counts(texts: DataFrame, finals: DataFrame) -> DataFrame:
+    """(w1, w2, w3, n_in, n_end): uses of each trigram in ``texts``, and among the ``finals``."""
     words = texts.select(F.split(F.concat(F.lit("^ ^ "), _tokens(F.col("text"))), " ").alias("w"))
     n = F.size("w")
-    inside = words.select(
-        F.inline(F.arrays_zip(F.slice("w", 1, n - 2).alias("a"), F.slice("w", 2, n - 2).alias("b"), F.slice("w", 3, n - 2).alias("c")))
-    ).toDF("w1", "w2", "w3")
-    inside = inside.groupBy("w1", "w2", "w3").agg(F.count(F.lit(1)).alias("n_in"), F.lit(0).cast("bigint").alias("n_end"))
-    ends = final_trigrams(texts.withColumn("record_id", F.lit(0)), []).groupBy("w1", "w2", "w3")
-    ends = ends.agg(F.lit(0).cast("bigint").alias("n_in"), F.count(F.lit(1)).alias("n_end"))
-    counts = inside.unionAll(ends).groupBy("w1", "w2", "w3").agg(F.sum("n_in").alias("n_in"), F.sum("n_end").alias("n_end"))
-    return counts
+    parts = [F.slice("w", i, n - 2).alias(f"w{i}") for i in (1, 2, 3)]
+    inside = words.select(F.inline(F.arrays_zip(*parts)).alias("w1", "w2", "w3"))
+    zero = F.lit(0).cast("bigint")
+    inside = inside.groupBy("w1", "w2", "w3").agg(F.count(F.lit(1)).alias("n_in"), zero.alias("n_end"))
+    ends = finals.groupBy("w1", "w2", "w3").agg(zero.alias("n_in"), F.count(F.lit(1)).alias("n_end"))
+    return inside.unionAll(ends).groupBy("w1", "w2", "w3").agg(F.sum("n_in").alias("n_in"), F.sum("n_end").alias("n_end"))
 
 
 def final_trigrams(texts: DataFrame, keep: list[str]) -> DataFrame:
-    omitted = F.col("ending").endswith("‥")
-    tail = texts.select(*keep, _ending(F.col("text")).alias("ending"))
-    tail = tail.select(
-        *keep,
-        omitted.alias("omitted"),
-        F.split(F.concat(F.lit("^ ^ "), _tokens(F.regexp_replace("ending", r"\s*‥$", ""))), " ").alias("w"),
-    )
-    at = lambda i: F.element_at("w", i)
-    return tail.select(*keep, "omitted", at(-3).alias("w1"), at(-2).alias("w2"), at(-1).alias("w3"))
+    """(*keep, w1, w2, w3) of each text, written once: every later step reads these narrow rows."""
+    last = F.substring(F.regexp_replace(_ending(F.col("text")), r"\s*‥$", ""), -ENDING, ENDING)
+    words = F.slice(F.split(F.concat(F.lit("^ ^ "), _tokens(last)), " "), -3, 3)
+    rows = materialize(texts.select(*keep, words.alias("w")), "final-trigrams")
+    return rows.select(*keep, *[F.element_at("w", i).alias(f"w{i}") for i in (1, 2, 3)])
 
 
 def _verdicts(counts: DataFrame) -> DataFrame:
@@ -142,12 +137,13 @@ def _verdicts(counts: DataFrame) -> DataFrame:
 def truncated(records: DataFrame) -> DataFrame:
     """(table_name, record_id, source, cut) for every row of ``records`` (table_name, record_id, source, text)."""
     written = records.where(_written(F.col("text")))
-    counts = materialize(trigram_counts(written), "trigrams")
+    keep = ["table_name", "record_id", "source"]
+    finals = final_trigrams(written, keep)
+    counts = materialize(trigram_counts(written, finals), "trigrams")
     verdicts = materialize(_verdicts(counts).where("cut").select("w1", "w2", "w3"), "trigram-verdicts")
     # an ending may be shared by a third of all texts: each verdict goes to SALTS places
     salted = verdicts.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    keep = ["table_name", "record_id", "source"]
-    finals = final_trigrams(written, keep).withColumn("salt", F.pmod(F.xxhash64("table_name", "record_id"), F.lit(SALTS)).cast("int"))
+    finals = finals.withColumn("salt", F.pmod(F.xxhash64("table_name", "record_id"), F.lit(SALTS)).cast("int"))
     judged = finals.join(salted.withColumn("hit", F.lit(True)), ["w1", "w2", "w3", "salt"], "left")
     return judged.select(*keep, F.coalesce("hit", F.lit(False)).alias("cut"))
 
