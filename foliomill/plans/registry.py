@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import importlib
+
 from foliomill.plans import corpus_queries
 
-_MODULES = [corpus_queries]
-QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
-ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
+_MODULES = ("relational_queries", "aggregate_queries")
+_BOOKS = [importlib.import_module(f"foliomill.plans.{m}").book for m in _MODULES]
+QUERIES = {**corpus_queries.QUERIES, **{n: q for b in _BOOKS for n, q in b.queries.items()}}
+ORACLES = {**corpus_queries.ORACLES, **{n: s for b in _BOOKS for n, s in b.oracles.items()}}
+COVERS = {n: c for b in _BOOKS for n, c in b.covers.items()}
