@@ -6,6 +6,7 @@ import difflib
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def edit_distance(a: list, b: list) -> int:
@@ -31,7 +32,7 @@ def common_subsequence(a: list, b: list) -> int:
     return len(a) - bin(row).count("1")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def word_error_rate(expected: pd.Series, candidate: pd.Series) -> pd.Series:
     """Word edits by words expected; nothing expected: 0 if nothing came, else 1. Null if either text is null."""
 
@@ -44,7 +45,7 @@ def word_error_rate(expected: pd.Series, candidate: pd.Series) -> pd.Series:
     return pd.Series([rate(e, c) for e, c in zip(expected, candidate)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def order_kept(expected: pd.Series, candidate: pd.Series) -> pd.Series:
     """Longest common subsequence of words by words expected, 1 if none were. Null if either text is null."""
 
@@ -57,7 +58,7 @@ def order_kept(expected: pd.Series, candidate: pd.Series) -> pd.Series:
     return pd.Series([share(e, c) for e, c in zip(expected, candidate)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching blocks of words, 2 * matched / total. Null if either text is null."""
     ratio = lambda x, y: None if x is None or y is None else difflib.SequenceMatcher(None, x.split(), y.split()).ratio()

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Fixed values.
 SPANISH_MONTHS = (
@@ -122,13 +123,13 @@ def quality_flags(text: Column) -> Column:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc_fold(col: pd.Series) -> pd.Series:
     """Python: compatibility form, white space collapsed, case folded."""
     return col.map(lambda s: None if s is None else " ".join(unicodedata.normalize("NFKC", s).split()).casefold())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_marks(col: pd.Series) -> pd.Series:
     """Python: canonical decomposition without combining marks, whatever the alphabet."""
     fold = lambda s: "".join(c for c in unicodedata.normalize("NFD", s) if unicodedata.category(c) != "Mn")

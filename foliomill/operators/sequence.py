@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def runs(df: DataFrame, group: list[str], place: str) -> DataFrame:
@@ -95,7 +96,7 @@ def pack(df: DataFrame, group: str, place: str, cost: str, budget: int, most: in
         return rows.assign(batch=out)
 
     rows = df.select(group, place, cost)
-    return rows.groupBy(group).applyInPandas(fold, rows.schema.add("batch", "int"))
+    return rows.groupBy(group).applyInPandas(fold, StructType([*rows.schema.fields, StructField("batch", IntegerType())]))
 
 
 def halves(first: int, last: int, size: Callable[[int, int], int], most: int) -> list[tuple[int, int]]:
