@@ -22,7 +22,7 @@ from foliomill.runtime import materialize
 
 #: Months of the language of the corpus.
 MONTHS = "enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|octubre|noviembre|diciembre"
-TAIL = 6000  # characters from the end in which the last words and the closing lines are sought
+TAIL = 1500  # characters from the end in which the last words and the closing lines are sought
 ENDING = 600  # characters of what then ends the text that hold its last three words
 CLOSING = 0.15  # share of ends among all uses of an unmarked trigram that shows it may end a text
 RARE_END = 0.004  # share of ends under which a marked trigram is the inside of a sentence
@@ -39,10 +39,9 @@ def _tokens(text: Column) -> Column:
     """The tokens of a text as one string, classes in place of names, numbers, dates and initials."""
     steps = [
         (r"[ \t\f]*\n\s*(?=[\p{Lu}(¿\[])", " ¶ "),
-        (r"\s+", " "),
+        (r" *[\n\t\f\r\x0b\x{a0}]\s*| {2,}", " "),
         (rf"\d{{1,2}}º? de (?:{MONTHS}) de \d{{4}}", "9D"),
-        (r"\d+", "0"),
-        (r"(?:0[.,\-/])+0", "0"),
+        (r"\d+(?:[.,\-/]\d+)*", "0"),
         (r"(?<!9)\p{Lu}[\p{L}\p{M}\p{N}\p{So}\p{Sm}\p{Sk}\p{Cf}’'!¡}]*", "X"),
         (r"/ \p{Ll}{2,4}(?![\p{L}])", "/ 9I"),
     ]
@@ -51,9 +50,9 @@ def _tokens(text: Column) -> Column:
 
 def _ending(text: Column) -> Column:
     """The tail of the text without what is set aside and without a mark of omission."""
-    tail = F.rtrim(F.regexp_replace(F.substring(text, -TAIL, TAIL), r"\s+$", ""))
+    tail = F.rtrim(F.substring(text, -TAIL, TAIL), F.lit(" \t\n\r\f\x0b\xa0"))
     bare = F.regexp_replace(tail, _SET_ASIDE, "")
-    bare = F.when(F.trim(bare) == "", tail).otherwise(bare)
+    bare = F.when(F.length(bare) > 1, bare).otherwise(tail)
     return F.regexp_replace(bare, _MARKER, " ‥")
 
 
