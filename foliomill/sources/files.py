@@ -53,7 +53,10 @@ def latest_records(lines: DataFrame, file: str = "object_key", number: str = "li
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
-    """(key, size, last_modified) of all files under a folder of any Hadoop file system; contents are not read."""
+    """(key, size, last_modified) of all files under a folder of any Hadoop file system; contents are not read.
+
+    Spark plans no read for files of no bytes, so empty files are not listed.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(F.col("path").alias("key"), F.col("length").alias("size"), F.unix_micros("modificationTime").alias("us")).select(
         "key", "size", (F.col("us") / 1e6).alias("last_modified")
@@ -61,7 +64,7 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(key, sha256, byte_count, kind) of each file."""
+    """(key, sha256, byte_count, kind) of each file that is not empty."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(
         F.col("path").alias("key"), F.sha2("content", 256).alias("sha256"), F.length("content").alias("byte_count"), file_kind(F.col("content")).alias("kind")
