@@ -22,7 +22,7 @@ from foliomill.runtime import materialize
 
 #: Months of the language of the corpus.
 MONTHS = "enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|octubre|noviembre|diciembre"
-TAIL = 1500  # characters from the end in which the last words and the closing lines are sought
+TAIL = 1200  # characters from the end in which the last words and the closing lines are sought
 ENDING = 600  # characters of what then ends the text that hold its last three words
 CLOSING = 0.15  # share of ends among all uses of an unmarked trigram that shows it may end a text
 RARE_END = 0.004  # share of ends under which a marked trigram is the inside of a sentence
@@ -30,7 +30,7 @@ SUPPORT, MARK_SUPPORT = 3, 300  # ends, and uses, that must have been seen
 FRAGMENT = 5  # times as many longer words with the same beginning
 SALTS = 16
 
-_MARKER = r"\s*(?:\[\s*(?:\.{2,}|…)\s*\]|\(\s*(?:\.{2,}|…)\s*\)|…|\.{2,})\s*$"
+_MARKER = r"(?:\[\s*(?:\.{2,}|…)\s*\]|\(\s*(?:\.{2,}|…)\s*\)|…|\.{2,})\s*$"
 #: A last line of its own that is short, begins with a capital, a figure or a sign and ends with a figure or a bracket.
 _SET_ASIDE = r"(?:\n[ \t\f]*(?=[^\n]{1,70}$|[^\n]{1,70}\n)(?:[\p{Lu}\d][^\n]*\d[\])|\-—– \t]*|[\[\]|(\-—–·\d /]+)\s*)+$"
 
@@ -49,11 +49,10 @@ def _tokens(text: Column) -> Column:
 
 
 def _ending(text: Column) -> Column:
-    """The tail of the text without what is set aside and without a mark of omission."""
+    """The last characters of the text without what is set aside and without a mark of omission."""
     tail = F.rtrim(F.substring(text, -TAIL, TAIL), F.lit(" \t\n\r\f\x0b\xa0"))
-    bare = F.regexp_replace(tail, _SET_ASIDE, "")
-    bare = F.when(F.length(bare) > 1, bare).otherwise(tail)
-    return F.regexp_replace(bare, _MARKER, " ‥")
+    bare = F.coalesce(F.nullif(F.regexp_replace(tail, _SET_ASIDE, ""), F.lit("")), tail)
+    return F.regexp_replace(F.substring(bare, -ENDING, ENDING), _MARKER, "")
 
 
 def _records(df: DataFrame, name: str, id_col: str, text_col: str) -> DataFrame:
@@ -83,8 +82,7 @@ def trigram_counts(texts: DataFrame, finals: DataFrame) -> DataFrame:
 
 def final_trigrams(texts: DataFrame, keep: list[str]) -> DataFrame:
     """(*keep, w1, w2, w3) of each text, written once: every later step reads these narrow rows."""
-    last = F.substring(F.regexp_replace(_ending(F.col("text")), r"\s*‥$", ""), -ENDING, ENDING)
-    words = F.slice(F.split(F.concat(F.lit("^ ^ "), _tokens(last)), " "), -3, 3)
+    words = F.slice(F.split(F.concat(F.lit("^ ^ "), _tokens(_ending(F.col("text")))), " "), -3, 3)
     rows = materialize(texts.select(*keep, words.alias("w")), "final-trigrams")
     return rows.select(*keep, *[F.element_at("w", i).alias(f"w{i}") for i in (1, 2, 3)])
 
