@@ -99,14 +99,15 @@ def _verdicts(counts: DataFrame) -> DataFrame:
         .join(one.toDF("w3", "in1", "end1"), "w3")
     )
     # a word of which longer ones are far more usual in its place is the beginning of one of these
-    def longer(context: list[str], name: str) -> DataFrame:
+    # (a class in the place of a number or a name says too little by its left neighbour, so there two words count)
+    def longer(words: DataFrame, context: list[str], name: str) -> DataFrame:
         parts = F.expr("transform(sequence(1, length(w3) - 1), i -> substring(w3, 1, i))")
-        words = counts.where("length(w3) > 1").groupBy(*context, "w3").agg(F.sum("n_in").alias("n_in"))
+        words = words.where("length(w3) > 1").groupBy(*context, "w3").agg(F.sum("n_in").alias("n_in"))
         cuts = words.select(*context, "n_in", F.explode(parts).alias("w3"))
         return cuts.groupBy(*context, "w3").agg(F.sum("n_in").alias(name))
 
-    rows = rows.join(longer(["w2"], "longer2"), ["w2", "w3"], "left")
-    rows = rows.join(longer(["w1", "w2"], "longer3"), ["w1", "w2", "w3"], "left")
+    rows = rows.join(longer(counts, ["w2"], "longer2"), ["w2", "w3"], "left")
+    rows = rows.join(longer(counts.where("w3 rlike '^[X09]'"), ["w1", "w2"], "longer3"), ["w1", "w2", "w3"], "left")
     fragment = F.coalesce(F.col("longer2") >= FRAGMENT * F.greatest("in2", "end2"), F.lit(False)) | F.coalesce(
         F.col("longer3") >= FRAGMENT * F.greatest("n_in", "n_end"), F.lit(False)
     )
