@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliomill.llm import encoding_repair, scan_repair
 from foliomill.llm.mixing import mix, shares
-from foliomill.llm.spans import shared_span_pairs
+from foliomill.llm.spans import shared_characters, shared_span_pairs
 from foliomill.llm.tokenize import token_counts, token_ids
 from foliomill.llm.truncation import text_records, truncated, truncation_report
 from foliomill.runtime import table
@@ -72,6 +72,11 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p8_shared(spark: SparkSession, d: str) -> DataFrame:
+    """How much of each record stands in another one too."""
+    return shared_characters(table(spark, d, "documents"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_by_source": p1_by_source,
@@ -84,5 +89,6 @@ QUERIES = {
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
     "p8_found": p8_found,
+    "p8_shared": p8_shared,
 }
 ORACLES: dict[str, str] = {}

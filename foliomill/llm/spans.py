@@ -313,8 +313,8 @@ def class_pairs(classes: DataFrame, span: int) -> DataFrame:
 BLOOM_BITS = 1 << 24  # 2 MB at most, whatever the corpus; fuller only means that more texts travel
 
 
-def _decided(pairs: DataFrame, classes: DataFrame, span: int) -> DataFrame:
-    """The pairs whose texts have a common window; only texts of classes in question leave the scan."""
+def _texts_of(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cls, text) of the classes in ``pairs``; of the others only the few that share a bit with one leave the scan."""
     wanted = pairs.select(F.col("cls_a").alias("cls")).union(pairs.select("cls_b")).distinct()
     slot = F.pmod(F.xxhash64("cls"), F.lit(BLOOM_BITS))
     bits = (
@@ -322,22 +322,76 @@ def _decided(pairs: DataFrame, classes: DataFrame, span: int) -> DataFrame:
         .groupBy("bucket")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
     )
-    place = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.expr("substring(bits, cast(place div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    held = F.expr("place % 8").cast("int")
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(place div 8 as int) + 1, 1)")), 16, 10).cast("long")
     texts = (
         classes.withColumn("bucket", F.bitmap_bucket_number(slot))
-        .withColumn("place", place)
-        .join(F.broadcast(bits), "bucket")  # at most 512 rows of 4 kB
-        .where(F.call_function("getbit", byte.cast("long"), held) == 1)
+        .withColumn("place", F.bitmap_bit_position(slot))
+        .join(F.broadcast(bits), "bucket")  # at most 513 rows of 4 kB
+        .where(F.getbit(byte, F.expr("cast(place % 8 as int)")) == 1)
         .select("cls", "text")
     )
-    texts = texts.groupBy("cls").agg(F.first("text").alias("text"))
-    texts = materialize(texts, "span-texts")
+    texts = texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
+    return materialize(texts, "span-texts")
+
+
+def _with_texts(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    texts = _texts_of(pairs, classes)
     a = texts.select(F.col("cls").alias("cls_a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("cls").alias("cls_b"), F.col("text").alias("text_b"))
-    joined = pairs.join(a, "cls_a").join(b, "cls_b").select("cls_a", "cls_b", "text_a", "text_b")
-    return joined.mapInArrow(_decide(span), "cls_a long, cls_b long")
+    return pairs.join(a, "cls_a").join(b, "cls_b").select("cls_a", "cls_b", "text_a", "text_b")
+
+
+def _decided(pairs: DataFrame, classes: DataFrame, span: int) -> DataFrame:
+    """The pairs whose texts have a common window."""
+    return _with_texts(pairs, classes).mapInArrow(_decide(span), "cls_a long, cls_b long")
+
+
+def covered(hashes: np.ndarray, other: np.ndarray, span: int) -> list[tuple[int, int]]:
+    """The stretches of a text that its windows found in the other text cover, as [begin, end)."""
+    hit = np.flatnonzero(np.isin(hashes, other))
+    if not len(hit):
+        return []
+    cut = np.flatnonzero(np.diff(hit) > span)
+    begins, ends = hit[np.concatenate([[0], cut + 1])], hit[np.concatenate([cut, [len(hit) - 1]])] + span
+    return list(zip(begins.tolist(), ends.tolist()))
+
+
+def _cover(span: int):
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, int]] = []
+            columns = [batch.column(c).to_pylist() for c in ("cls_a", "cls_b", "text_a", "text_b")]
+            for a, b, x, y in zip(*columns):
+                hx, hy = window_hashes(x, span), window_hashes(y, span)
+                out += [(a, *s) for s in covered(hx, hy, span)] + [(b, *s) for s in covered(hy, hx, span)]
+            cls, begin, end = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cls, pa.int64()), pa.array(begin, pa.int32()), pa.array(end, pa.int32())], ["cls", "b", "e"]
+            )
+
+    return cover
+
+
+def shared_characters(docs: DataFrame, span: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, n_chars, shared_chars): for every row, how many of its characters lie in spans that stand in another record.
+
+    Null texts have null and 0. A text that another record holds word for word is shared as a whole from ``span`` on.
+    """
+    classes = _classes(docs, id_col, text_col, span)
+    pairs = materialize(class_pairs(classes, span), "span-found")
+    parts = _with_texts(pairs, classes).mapInArrow(_cover(span), "cls long, b int, e int")
+    # stretches are merged in order: each adds what lies beyond the furthest end before it
+    order = Window.partitionBy("cls").orderBy("b", "e").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.distinct().withColumn("far", F.coalesce(F.max("e").over(order), F.lit(0)))
+    sums = parts.groupBy("cls").agg(F.sum(F.greatest(F.lit(0), F.col("e") - F.greatest("b", "far"))).alias("part"))
+    text = F.col(text_col)
+    rows = docs.select(
+        F.col(id_col), F.length(text).cast("bigint").alias("n_chars"), F.xxhash64(text).alias("cls"), (text.isNotNull() & (F.length(text) >= span)).alias("long")
+    )
+    copies = rows.where("long").groupBy("cls").agg(F.count_distinct(id_col).alias("n")).where("n > 1").select("cls", F.lit(True).alias("copied"))
+    rows = rows.join(copies, "cls", "left").join(sums, "cls", "left")
+    shared = F.when(F.col("copied") & F.col("long"), F.col("n_chars")).when(F.col("long"), F.col("part"))
+    return rows.select(id_col, "n_chars", F.coalesce(shared, F.lit(0)).cast("bigint").alias("shared_chars"))
 
 
 def shared_span_pairs(docs: DataFrame, span: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
