@@ -45,7 +45,10 @@ class Tiers:
 
 def named_records(lines: DataFrame, column: str = "line_text") -> DataFrame:
     """Adds ``record``: equal for equal records, null where the line is none."""
-    parsed = lines.withColumn("__v", F.try_parse_json(F.col(column)))
+    # as the only element of an array, a line with anything after its object is no JSON
+    parsed = lines.withColumn("__a", F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit("]"))))
+    only = F.when(F.try_variant_get("__a", "$[1]", "variant").isNull(), F.try_variant_get("__a", "$[0]", "variant"))
+    parsed = parsed.withColumn("__v", only).drop("__a")
     fields = "if(schema_of_variant(__v) like 'OBJECT%', try_cast(__v as map<string,string>), null)"
     canonical = F.expr(
         "array_sort(transform(filter(map_entries(__m), e -> e.value is not null), e -> named_struct("

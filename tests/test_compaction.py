@@ -29,9 +29,13 @@ def test_equal_records_have_one_name(spark):
         None,
         "[1]",
         "7",
+        '{"a": 1} x',
+        '{"a": 1} {"a": 1}',
+        '{"a": 1}, {"a": 1}',
+        '{"a": 1}, 7',
     ]
     got = [r[0] for r in named_records(spark.createDataFrame([(t,) for t in texts], "line_text string")).select("record").collect()]
-    assert got[0] == got[1] and got[0] != got[2] and got[0] is not None and got[3:] == [None] * 5
+    assert got[0] == got[1] and got[0] != got[2] and got[0] is not None and got[3:] == [None] * 9
 
 
 def test_each_record_once_and_first_kept(spark):
