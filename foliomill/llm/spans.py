@@ -292,7 +292,8 @@ def class_pairs(classes: DataFrame, span: int) -> DataFrame:
     size = int(str(classes._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     buckets = int(min(max(parts, size // BUCKET_BYTES), 1 << 20))
     packed = classes.select("cls", "text").mapInArrow(_pack(span, buckets), "bucket int, rows binary")
-    matched = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    # buckets are dealt out in turn: their hashes would leave some tasks with many of them
+    matched = packed.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int")).sortWithinPartitions("bucket")
     hits = matched.mapInArrow(_match, "cls_a long, cls_b long, pos_a int, pos_b int")
     # contexts on one diagonal that overlap or touch make one run
     diagonal = Window.partitionBy("cls_a", "cls_b", "diag").orderBy("pos_a")
@@ -330,7 +331,8 @@ def _texts_of(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         .where(F.getbit(byte, F.expr("cast(place % 8 as int)")) == 1)
         .select("cls", "text")
     )
-    texts = texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
+    # classes that only share a bit stay in: a semi join here would be moved below the bitmap and shuffle every text
+    texts = texts.groupBy("cls").agg(F.first("text").alias("text"))
     return materialize(texts, "span-texts")
 
 
