@@ -11,7 +11,7 @@ from foliomill.functions import ratios as Q
 from foliomill.functions import text as T
 from foliomill.operators import ledger
 from foliomill.plans.define import Book
-from foliomill.runtime import table
+from foliomill.runtime import materialize, table
 
 book = Book()
 STATUSES = ["stored", "unavailable", "failed"]
@@ -273,7 +273,8 @@ def _placed(df: DataFrame, *order: Column) -> DataFrame:
     """``place`` in the order of the whole table, without one task that sorts it all: rows are sorted in range partitions,
     numbered in each, and the partitions' sizes are summed."""
     rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id())
-    rows = rows.select("*", F.shiftright("__m", 33).alias("__p"), (F.col("__m") % (1 << 33)).alias("__i"))
+    # written once: a second run might draw other range bounds
+    rows = materialize(rows.select("*", F.shiftright("__m", 33).alias("__p"), (F.col("__m") % (1 << 33)).alias("__i")), "placed")
     sizes = rows.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))  # a row for each partition
     before = sizes.withColumn("__b", F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).select("__p", "__b")
     return rows.join(F.broadcast(before), "__p").withColumn("place", F.col("__i") + F.col("__b") + 1).drop("__p", "__i", "__b", "__m")
