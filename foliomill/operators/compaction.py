@@ -167,14 +167,13 @@ def compact(
     count = max(1, -(-size[0] // tiers.target_bytes))
     name = f"final-{size[2]}-{size[1]}-{count}"
     if journal.done().where(F.col("txn") == name).isEmpty():
-        place = F.struct("object_key", "line_no")
-        firsts = rows.groupBy("record").agg(F.min(place).alias("first"))  # partial sums tame a record sent everywhere
-        firsts = firsts.select(F.col("first.object_key").alias("k"), F.col("first.line_no").alias("n"), F.lit(True).alias("kept"))
-        flagged = rows.join(firsts, rows["object_key"].eqNullSafe(F.col("k")) & rows["line_no"].eqNullSafe(F.col("n")), "left")
-        merged = flagged.select(
-            F.lit(name).alias("txn"), "record", "object_key", "line_no", "line_text", F.coalesce("kept", F.lit(False)).alias("kept")
+        # one shuffle: the partition that decides a record is the file that keeps it; each merge below sent a record once
+        first = Window.partitionBy("record").orderBy("object_key", "line_no")
+        merged = rows.repartition(count, "record").withColumn("kept", F.row_number().over(first) == 1)
+        merged = merged.select(
+            F.lit(name).alias("txn"), "record", "object_key", "line_no", F.when(F.col("kept"), F.col("line_text")).alias("line_text"), "kept"
         )
-        merged = merged.repartition(count, "record").sortWithinPartitions("kept", "object_key", "line_no")
+        merged = merged.sortWithinPartitions("kept", "object_key", "line_no")
         _commit(journal, merged, files.select("bytes", F.lit(name).alias("txn")), level)
     out = _output(journal, level).where(F.col("txn") == name)
     outputs.append(out)
