@@ -45,19 +45,15 @@ class Tiers:
 
 def named_records(lines: DataFrame, column: str = "line_text") -> DataFrame:
     """Adds ``record``: equal for equal records, null where the line is none."""
-    # as the only element of an array, a line with anything after its object is no JSON
-    parsed = lines.withColumn("__a", F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit("]"))))
-    only = F.when(F.try_variant_get("__a", "$[1]", "variant").isNull(), F.try_variant_get("__a", "$[0]", "variant"))
-    parsed = parsed.withColumn("__v", only).drop("__a")
-    fields = "if(schema_of_variant(__v) like 'OBJECT%', try_cast(__v as map<string,string>), null)"
-    canonical = F.expr(
-        "array_sort(transform(filter(map_entries(__m), e -> e.value is not null), e -> named_struct("
-        "'key', e.key, 'value', if(e.key = 'recorded_at', "
-        "coalesce(cast(unix_micros(try_cast(e.value as timestamp)) as string), e.value), e.value))))"
-    )
-    named = parsed.withColumn("__m", F.expr(fields))
-    named = named.withColumn("record", F.when(F.col("__m").isNotNull(), F.md5(F.to_json(canonical))))
-    return named.drop("__v", "__m")
+    # As the only element of an array, a line with anything after its object is no JSON. The lambdas hold the parsed line
+    # and its fields, so each is worked out once.
+    instant = "coalesce(cast(unix_micros(try_cast(e.value as timestamp)) as string), e.value)"
+    field = f"named_struct('key', e.key, 'value', if(e.key = 'recorded_at', {instant}, e.value))"
+    canonical = f"array_sort(transform(filter(map_entries(m), e -> e.value is not null), e -> {field}))"
+    whole = "try_variant_get(a, '$[1]', 'variant') is null and schema_of_variant(try_variant_get(a, '$[0]', 'variant')) like 'OBJECT%'"
+    fields = f"if({whole}, try_cast(try_variant_get(a, '$[0]', 'variant') as map<string,string>), null)"
+    name = f"transform(array({fields}), m -> if(m is null, null, md5(to_json({canonical}))))[0]"
+    return lines.withColumn("record", F.expr(f"transform(array(try_parse_json(concat('[', {column}, ']'))), a -> {name})[0]"))
 
 
 def file_sizes(lines: DataFrame, objects: DataFrame) -> DataFrame:
