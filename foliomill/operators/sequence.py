@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -99,6 +101,42 @@ def pack(df: DataFrame, group: str, place: str, cost: str, budget: int, most: in
     return rows.groupBy(group).applyInPandas(fold, StructType([*rows.schema.fields, StructField("batch", IntegerType())]))
 
 
+def joined_digest(df: DataFrame, group: str, order: list[str], text: str, flag: str, between: str) -> DataFrame:
+    """(group, h, n): md5 of the group's texts in order, ``between`` them; n counts the flagged rows. A null key is a group.
+
+    The sort is the engine's and spills; the digest takes one row after the other, so a group may be of any size.
+    """
+    mark = between.encode()
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, digest, n, kind = None, None, 0, pa.string()
+        done: list[tuple] = []
+        flush = lambda: pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in done], t) for i, t in enumerate((kind, pa.string(), pa.int64()))], names=[group, "h", "n"]
+        )
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for k, t, f in zip(*[c.to_pylist() for c in batch.columns]):
+                if digest is None or k != key:
+                    if digest is not None:
+                        done.append((key, digest.hexdigest(), n))
+                    key, digest, n = k, hashlib.md5(), 0
+                else:
+                    digest.update(mark)
+                digest.update(t)
+                n += f
+            if done:
+                yield flush()
+                done.clear()
+        if digest is not None:
+            done.append((key, digest.hexdigest(), n))
+            yield flush()
+
+    rows = df.repartition(group).sortWithinPartitions(group, *order)
+    rows = rows.select(group, F.col(text).cast("binary"), F.col(flag).cast("int"))
+    return rows.mapInArrow(fold, f"{group} {df.schema[group].dataType.simpleString()}, h string, n bigint")
+
+
 def halves(first: int, last: int, size: Callable[[int, int], int], most: int) -> list[tuple[int, int]]:
     """A range split in halves until each part fits."""
     if first >= last or size(first, last) <= most:

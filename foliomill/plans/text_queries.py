@@ -9,6 +9,7 @@ from foliomill.functions import fidelity as Y
 from foliomill.functions import hashing as H
 from foliomill.functions import text as T
 from foliomill.operators import retrieval as V
+from foliomill.operators import sequence as Q
 from foliomill.plans.define import Book
 from foliomill.runtime import table
 from foliomill.sources import files as S
@@ -149,12 +150,11 @@ def q_filename_from_url(spark: SparkSession, d: str) -> DataFrame:
        SELECT source_artifact_id, md5(t) AS h, n_open FROM p""",
 )
 def q_page_reconstruct(spark: SparkSession, d: str) -> DataFrame:
-    """An artifact's pages as one text, in order. The bound compilation that holds a tenth of all pages is no single decision."""
-    rows = table(spark, d, "source_texts").where("page_index is not null and source_artifact_id <> 'art-000000000'")
-    page = F.struct("page_index", "text_id", F.coalesce("text", F.lit("")).alias("t"))
-    pages = F.transform(F.array_sort(F.collect_list(page)), lambda p: p["t"])
+    """Every artifact's pages as one text, in order. The SQL above leaves out art-000000000 and null keys; these rows are more."""
+    rows = table(spark, d, "source_texts").where("page_index is not null")
     blank = F.col("text").isNull() | (F.trim("text") == "")
-    return rows.groupBy("source_artifact_id").agg(F.md5(F.array_join(pages, "\n\n")).alias("h"), F.count_if(blank).alias("n_open"))
+    pages = rows.select("source_artifact_id", "page_index", "text_id", F.coalesce("text", F.lit("")).alias("t"), blank.alias("blank"))
+    return Q.joined_digest(pages, "source_artifact_id", ["page_index", "text_id", "t"], "t", "blank", "\n\n").withColumnRenamed("n", "n_open")
 
 
 @book.add(
