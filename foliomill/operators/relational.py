@@ -67,10 +67,18 @@ def neighbours(wanted: DataFrame, rows: DataFrame, key: str, place: str, radius:
     return asked.join(held, [key, place], "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
-def range_lookup(ranges: DataFrame, rows: DataFrame, key: str, place: str) -> DataFrame:
-    """(key, first, last, n_found, missing): places of each range that ``rows`` has and lacks."""
-    asked = ranges.select(key, "first", "last", F.explode(F.sequence("first", "last")).alias(place))
+def range_lookup(ranges: DataFrame, rows: DataFrame, key: str, place: str, block: int = 4096) -> DataFrame:
+    """(key, first, last, n_found, missing): places of each range that ``rows`` has and lacks.
+
+    A range is looked up and gathered in blocks of places, so a long one is many small arrays until the last step.
+    """
+    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"greatest(0, (last - first) div {block})"))).alias("__b")
+    start = (F.col("first") + F.col("__b") * block).cast(ranges.schema["first"].dataType)
+    within = F.explode(F.sequence(start, F.least(F.col("last"), start + (block - 1)))).alias(place)
+    asked = ranges.select(key, "first", "last", numbers).select(key, "first", "last", "__b", within)
     held = rows.select(key, place).distinct().withColumn("__f", F.lit(1))
     found = asked.join(held, [key, place], "left")
     lacking = F.array_sort(F.collect_list(F.when(F.col("__f").isNull(), F.col(place))))
-    return found.groupBy(key, "first", "last").agg(F.count("__f").alias("n_found"), lacking.alias("missing"))
+    parts = found.groupBy(key, "first", "last", "__b").agg(F.count("__f").alias("n"), lacking.alias("m"))
+    ordered = F.array_sort(F.collect_list(F.struct("__b", "m")))
+    return parts.groupBy(key, "first", "last").agg(F.sum("n").alias("n_found"), F.flatten(F.transform(ordered, lambda p: p["m"])).alias("missing"))

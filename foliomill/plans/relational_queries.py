@@ -245,9 +245,7 @@ def q_model_pivot(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_page_range_lookup(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "source_texts").where("page_index is not null")
-    ranges = pages.groupBy("source_artifact_id").agg(
-        F.min("page_index").alias("first"), F.least(F.max("page_index"), F.min("page_index") + 9).alias("last")
-    )
+    ranges = pages.groupBy("source_artifact_id").agg(F.min("page_index").alias("first"), F.max("page_index").alias("last"))
     return R.range_lookup(ranges, pages, "source_artifact_id", "page_index")
 
 

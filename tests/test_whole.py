@@ -41,3 +41,23 @@ def test_page_reconstruct_null_key(spark, tmp_path):
     spark.createDataFrame(rows, "text_id long, source_artifact_id string, page_index int, text string").write.parquet(f"{tmp_path}/source_texts.parquet")
     got = given(spark, "q_page_reconstruct", "source_artifact_id", "h", "n_open", data=str(tmp_path))
     assert got == asked(PAGES, str(tmp_path)) and len(got) == 2
+
+
+RANGES = """WITH r AS (SELECT source_artifact_id, min(page_index) AS first, max(page_index) AS last FROM source_texts WHERE page_index IS NOT NULL GROUP BY 1),
+                 a AS (SELECT *, unnest(range(first, last + 1)) AS p FROM r), h AS (SELECT DISTINCT source_artifact_id, page_index FROM source_texts)
+            SELECT a.source_artifact_id, first, last, count(h.page_index) AS n_found, coalesce(list_sort(list(p::INT) FILTER (h.page_index IS NULL)), []) AS missing
+            FROM a LEFT JOIN h ON a.source_artifact_id = h.source_artifact_id AND p = h.page_index GROUP BY ALL"""
+
+
+@needs_tables
+def test_page_range_lookup_has_whole_ranges(spark):
+    got = given(spark, "q_page_range_lookup", "source_artifact_id", "first", "last", "n_found", "missing")
+    assert got == asked(RANGES)
+    assert max(r[2] - r[1] for r in got) > 9
+
+
+def test_page_range_lookup_long_range(spark, tmp_path):
+    rows = [("x", 5), ("x", 7), ("x", 10_000), ("y", -3), ("y", 1), (None, 2), (None, 4), ("z", None)]
+    spark.createDataFrame(rows, "source_artifact_id string, page_index int").write.parquet(f"{tmp_path}/source_texts.parquet")
+    got = given(spark, "q_page_range_lookup", "source_artifact_id", "first", "last", "n_found", "missing", data=str(tmp_path))
+    assert got == asked(RANGES, str(tmp_path)) and len(got) == 3
