@@ -30,7 +30,7 @@ def q_conditional_run_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "AGG-02 AGG-03 AGG-04 AGG-08 AGG-39",
+    "AGG-02 AGG-03 AGG-04 AGG-39",
     """WITH l AS (SELECT l_returnflag, l_orderkey, l_discount, l_quantity, l_linestatus = 'F' AS reliable FROM lineitem),
        o AS (SELECT l_returnflag, l_orderkey, avg(l_discount) AS m, max(l_discount) AS worst, bool_or(l_discount >= 0.1) AS loss,
                     bool_and(l_discount <= 0.08) AS ok FROM l WHERE reliable GROUP BY ALL),
@@ -200,7 +200,7 @@ def q_frozen_threshold(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "AGG-13 AGG-14 AGG-15 STR-10 STR-02",
+    "AGG-13 AGG-14 AGG-15 MAT-01 STR-10 STR-02",
     r"""WITH p AS (SELECT c.candidate_id, s.text AS e, c.candidate_text AS t FROM candidate_texts c JOIN source_texts s USING (text_id)
                   WHERE s.text IS NOT NULL AND c.candidate_text IS NOT NULL),
         a AS (SELECT candidate_id, w, count(*) AS n FROM (SELECT candidate_id, unnest(regexp_extract_all(lower(e), '[\p{L}\p{N}_]+(?:[./-][\p{L}\p{N}_]+)*')) AS w FROM p) GROUP BY ALL),

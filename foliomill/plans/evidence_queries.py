@@ -15,7 +15,7 @@ book = Book()
 
 
 @book.add(
-    "FLT-21 FLT-22 FLT-23",
+    "FLT-21 FLT-23",
     """WITH p AS (SELECT candidate_id, substr(candidate_text, 11, 40) AS excerpt, s.text FROM candidate_texts c LEFT JOIN source_texts s USING (text_id) WHERE length(candidate_text) >= 50)
        SELECT candidate_id, CASE WHEN text IS NULL THEN 'no_page' WHEN substr(text, 11, 40) = excerpt THEN 'exact' WHEN contains(text, excerpt) THEN 'moved' ELSE 'not_found' END AS evidence FROM p""",
 )
@@ -109,7 +109,7 @@ def q_shard_cover(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "AGG-55 STR-35",
+    "AGG-55",
     """SELECT '| ' || adapter || ' | ' || count(*) || ' | ' || coalesce(printf('%.3f', avg(length(candidate_text))), '-') || ' |' AS line FROM candidate_texts GROUP BY adapter""",
 )
 def q_report_lines(spark: SparkSession, d: str) -> DataFrame:

@@ -39,7 +39,7 @@ def q_change_taxonomy(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("change").agg(F.count(F.lit(1)).alias("n"))
 
 
-@book.add("STR-03 STR-06 STR-08 STR-09 STR-12 STR-27 AGG-08 SRT-03")
+@book.add("STR-09")
 def q_fidelity_scores(spark: SparkSession, d: str) -> DataFrame:
     """Word errors, order and similarity of each candidate; the recurrences have no SQL form."""
     rows = _pairs(spark, d).select("candidate_id", "e", "c").repartition("candidate_id")
@@ -52,7 +52,7 @@ def q_fidelity_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "STR-11 STR-13 STR-18 STR-19 SET-07",
+    "",
     r"""SELECT text_id, list_sort(list_distinct(list_transform(regexp_extract_all(text, 'Ley núm\. \d+-\d+'), lambda x: lower(x)))) AS laws,
                list_sort(list_distinct(list_transform(regexp_extract_all(text, '\d{3}-\d{4}-[A-Z]{4}-\d{5}'), lambda x: lower(x)))) AS dockets FROM source_texts WHERE text IS NOT NULL""",
 )
@@ -90,7 +90,7 @@ def q_anomaly_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "STR-16 STR-20 STR-21 STR-26",
+    "",
     r"""SELECT text_id, CASE WHEN regexp_matches(text, '^SENTENCIA N') THEN 'sentence' WHEN regexp_matches(text, '^Expediente \d') THEN 'file' WHEN regexp_matches(text, '^(BOLET|Bolet)') THEN 'bulletin'
           WHEN regexp_matches(text, '^(Análisis|Estudio|Informe) ') THEN 'editorial' ELSE 'unknown' END AS family, nullif(regexp_extract(text, '^SENTENCIA NÚM\. (\S+)', 1), '') AS number FROM source_texts WHERE text IS NOT NULL""",
 )
@@ -122,7 +122,7 @@ def q_spanish_dates(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "STR-24 STR-25 DAT-02",
+    "",
     r"""SELECT doc_id, nullif(regexp_extract(text, '[A-Z]{3}-[A-Z]{2}-\d{2}-\d{4,5}'), '') AS identifier, regexp_replace(decision_number, '\d$', chr(65533)) AS corrupted FROM documents WHERE decision_number IS NOT NULL""",
 )
 def q_identifiers(spark: SparkSession, d: str) -> DataFrame:
@@ -133,7 +133,7 @@ def q_identifiers(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "STR-28 STR-29 SRC-10 SRC-12",
+    "STR-29",
     r"""SELECT DISTINCT document_url, nullif(regexp_extract(trim(document_url), '/([^/?]*)(\?.*)?\s*$', 1), '') AS filename, contains(lower(document_url), 'boletin') AS bulletin FROM checkpoint_snapshots""",
 )
 def q_filename_from_url(spark: SparkSession, d: str) -> DataFrame:
@@ -144,7 +144,7 @@ def q_filename_from_url(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "STR-33 ARR-03 STR-35",
+    "ARR-03",
     """WITH p AS (SELECT source_artifact_id, string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY page_index, text_id) AS t, count(*) FILTER (text IS NULL OR trim(text) = '') AS n_open
                   FROM source_texts WHERE page_index IS NOT NULL AND source_artifact_id <> 'art-000000000' GROUP BY 1)
        SELECT source_artifact_id, md5(t) AS h, n_open FROM p""",
@@ -158,7 +158,7 @@ def q_page_reconstruct(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "MAT-01 MAT-02 MAT-03 MAT-05",
+    "MAT-02 MAT-03",
     """SELECT doc_id, greatest(1, ceil(strlen(text) / 3.0::DOUBLE))::BIGINT AS by_bytes, greatest(1, ceil(length(text) / 4.0::DOUBLE))::BIGINT AS by_chars,
               greatest(1, ceil(strlen(text) / 3.0::DOUBLE)) + 500 <= 2000 AS fits FROM documents WHERE text IS NOT NULL""",
 )
@@ -183,7 +183,7 @@ def q_content_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "JSN-01 JSN-02 JSN-03 JSN-04 UDF-05",
+    "JSN-02",
     """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_type(props) = 'OBJECT' AS is_object FROM events""",
 )
 def q_json_props(spark: SparkSession, d: str) -> DataFrame:
@@ -296,7 +296,7 @@ def q_citations(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "STR-22 WIN-11",
+    "WIN-11",
     """SELECT source_artifact_id, text_id, row_number() OVER (PARTITION BY source_artifact_id ORDER BY page_index NULLS LAST, text_id) - 1 AS ordinal FROM source_texts""",
 )
 def q_ordinals(spark: SparkSession, d: str) -> DataFrame:

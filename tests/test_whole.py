@@ -1,6 +1,7 @@
 """Queries over everything their tables hold; the SQL here has no cut."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -61,3 +62,14 @@ def test_page_range_lookup_long_range(spark, tmp_path):
     spark.createDataFrame(rows, "source_artifact_id string, page_index int").write.parquet(f"{tmp_path}/source_texts.parquet")
     got = given(spark, "q_page_range_lookup", "source_artifact_id", "first", "last", "n_found", "missing", data=str(tmp_path))
     assert got == asked(RANGES, str(tmp_path)) and len(got) == 3
+
+
+def test_coverage_names_what_queries_show():
+    text = open(os.path.join(os.path.dirname(__file__), "..", "COVERAGE.md")).read()
+    lines = dict(re.findall(r"^\| ([A-Z]{3}-\d\d) \| (.*) \|$", text, re.M))
+    undone = {k for k, where in lines.items() if where.startswith("not done")}
+    shown = {k for k, where in lines.items() if k not in undone and "`q_" in where}
+    assert f"{len(shown)} lines below name a registered query, {len(undone)} are marked as not done" in text
+    assert not undone & {k for covers in registry.COVERS.values() for k in covers.split()}
+    assert {"SRC-10", "STR-03", "STR-28", "DAT-02", "STR-33", "SET-07", "FLT-22"} <= undone
+    assert all(name in registry.QUERIES for k in shown for name in re.findall(r"`(q_\w+)`", lines[k]))
