@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliomill.runtime import materialize
 
 
-def closure(edges: DataFrame, most: int = 64) -> DataFrame:
+def closure(edges: DataFrame) -> DataFrame:
     """(src, dst, depth): shortest depth of every pair joined by a path of at least one edge.
 
-    Each turn joins the newest pairs with the edges and keeps what is new, so cycles end by themselves. A turn is written
-    to the shared folder: plans stay short and a lost executor repeats one turn at most.
+    Each turn joins the newest pairs with the edges and keeps what is new, so cycles end by themselves, and long
+    chains take as many turns as they have edges. A turn is written to the shared folder, and now and then all that is
+    reached: plans stay short and a lost executor repeats one turn at most.
     """
     step = edges.select("src", "dst").where("src is not null and dst is not null").distinct()
     step = materialize(step, "edges")
     reached = materialize(step.withColumn("depth", F.lit(1)), "closure")
     newest = reached
-    for depth in range(2, most + 1):
+    for depth in count(2):
         grown = newest.select("src", F.col("dst").alias("via")).join(step.toDF("via", "dst"), "via").select("src", "dst").distinct()
         grown = grown.join(reached.select("src", "dst"), ["src", "dst"], "left_anti").withColumn("depth", F.lit(depth))
         newest = materialize(grown, "closure")
         if newest.isEmpty():
             break
         reached = reached.unionAll(newest)
+        if depth % 16 == 0:
+            reached = materialize(reached, "closure")
     return reached
 
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from foliomill.operators import lineage
 from foliomill.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -73,3 +74,9 @@ def test_coverage_names_what_queries_show():
     assert not undone & {k for covers in registry.COVERS.values() for k in covers.split()}
     assert {"SRC-10", "STR-03", "STR-28", "DAT-02", "STR-33", "SET-07", "FLT-22"} <= undone
     assert all(name in registry.QUERIES for k in shown for name in re.findall(r"`(q_\w+)`", lines[k]))
+
+
+def test_closure_of_a_long_chain(spark):
+    edges = spark.range(66).selectExpr("id AS src", "id + 1 AS dst").coalesce(1)
+    pairs = lineage.closure(edges).selectExpr("count(*)", "max(depth)", "count_if(depth != dst - src)").first()
+    assert tuple(pairs) == (66 * 67 // 2, 66, 0)
