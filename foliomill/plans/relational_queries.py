@@ -155,8 +155,8 @@ def q_endpoint_relations(spark: SparkSession, d: str) -> DataFrame:
     return R.either_end(_nation_edges(spark, d), table(spark, d, "nation"), "src", "dst", "n_nationkey").select("n_nationkey", "src", "dst")
 
 
-def _nation_edges(spark: SparkSession, d: str, least: float = 400000.0) -> DataFrame:
-    orders = table(spark, d, "orders").where(F.col("o_totalprice") > least).select("o_orderkey", "o_custkey")
+def _nation_edges(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     rows = rows.join(table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("src")), F.col("o_custkey") == F.col("c_custkey"))
     rows = rows.join(table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("dst")), F.col("l_suppkey") == F.col("s_suppkey"))

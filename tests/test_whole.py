@@ -80,3 +80,13 @@ def test_closure_of_a_long_chain(spark):
     edges = spark.range(66).selectExpr("id AS src", "id + 1 AS dst").coalesce(1)
     pairs = lineage.closure(edges).selectExpr("count(*)", "max(depth)", "count_if(depth != dst - src)").first()
     assert tuple(pairs) == (66 * 67 // 2, 66, 0)
+
+
+RELATIONS = """WITH e AS (SELECT DISTINCT c_nationkey AS src, s_nationkey AS dst FROM customer JOIN orders ON o_custkey = c_custkey
+                 JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey)
+               SELECT n_nationkey, src, dst FROM nation JOIN e ON src = n_nationkey OR dst = n_nationkey"""
+
+
+@needs_tables
+def test_endpoint_relations_of_all_orders(spark):
+    assert given(spark, "q_endpoint_relations", "n_nationkey", "src", "dst") == asked(RELATIONS)
