@@ -20,14 +20,15 @@ book = Book()
        SELECT candidate_id, CASE WHEN text IS NULL THEN 'no_page' WHEN substr(text, 11, 40) = excerpt THEN 'exact' WHEN contains(text, excerpt) THEN 'moved' ELSE 'not_found' END AS evidence FROM p""",
 )
 def q_evidence_spans(spark: SparkSession, d: str) -> DataFrame:
-    """Whether a cited excerpt stands where it is said to, elsewhere on the page, or nowhere."""
-    cand = table(spark, d, "candidate_texts").where(F.length("candidate_text") >= 50)
-    cand = cand.select("candidate_id", "text_id", F.substring("candidate_text", 11, 40).alias("excerpt"))
+    """Whether all of a candidate stands where it is said to, elsewhere on the page, or nowhere: the weakest of its excerpts of 40."""
+    cand = table(spark, d, "candidate_texts").select("candidate_id", "text_id", F.col("candidate_text").alias("c"))
     rows = cand.join(table(spark, d, "source_texts").select("text_id", "text"), "text_id", "left")
+    excerpts = F.transform(F.sequence(F.lit(1), F.length("c"), F.lit(40)), lambda i: F.substring("c", i, F.lit(40)))
     state = (
         F.when(F.col("text").isNull(), "no_page")
-        .when(F.substring("text", 11, 40) == F.col("excerpt"), "exact")
-        .when(F.contains("text", "excerpt"), "moved")
+        .when(F.coalesce(F.length("c"), F.lit(0)) == 0, "no_text")
+        .when(F.startswith("text", "c"), "exact")  # every excerpt at its place
+        .when(F.forall(excerpts, lambda x: F.contains("text", x)), "moved")
         .otherwise("not_found")
     )
     return rows.select("candidate_id", state.alias("evidence"))

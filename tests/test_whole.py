@@ -90,3 +90,25 @@ RELATIONS = """WITH e AS (SELECT DISTINCT c_nationkey AS src, s_nationkey AS dst
 @needs_tables
 def test_endpoint_relations_of_all_orders(spark):
     assert given(spark, "q_endpoint_relations", "n_nationkey", "src", "dst") == asked(RELATIONS)
+
+
+SPANS = """SELECT candidate_id, CASE WHEN text IS NULL THEN 'no_page' WHEN coalesce(candidate_text, '') = '' THEN 'no_text'
+             WHEN starts_with(text, candidate_text) THEN 'exact'
+             WHEN len(list_filter(range(1, length(candidate_text) + 1, 40), lambda i: NOT contains(text, substr(candidate_text, i, 40)))) = 0 THEN 'moved' ELSE 'not_found' END
+           FROM candidate_texts LEFT JOIN source_texts USING (text_id)"""
+
+
+@needs_tables
+def test_evidence_spans_of_all_candidates(spark):
+    assert given(spark, "q_evidence_spans", "candidate_id", "evidence") == asked(SPANS)
+
+
+def test_evidence_spans_look_at_the_whole_text(spark, tmp_path):
+    page = "".join(chr(0x4E00 + i) for i in range(300))
+    cand = [page[:120], page[:60] + "?" + page[61:120], page[80:120] + page[:70], page[:9], "?", "", None, page]
+    spark.createDataFrame([(1, page), (2, None)], "text_id long, text string").write.parquet(f"{tmp_path}/source_texts.parquet")
+    rows = [(i, 2 if i == 7 else 1, c) for i, c in enumerate(cand)]
+    spark.createDataFrame(rows, "candidate_id long, text_id long, candidate_text string").write.parquet(f"{tmp_path}/candidate_texts.parquet")
+    got = given(spark, "q_evidence_spans", "candidate_id", "evidence", data=str(tmp_path))
+    assert [r[1] for r in got] == ["exact", "not_found", "moved", "exact", "not_found", "no_text", "no_text", "no_page"]
+    assert got == asked(SPANS, str(tmp_path))
