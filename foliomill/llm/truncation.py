@@ -22,7 +22,7 @@ from foliomill.runtime import materialize
 
 #: Months of the language of the corpus.
 MONTHS = "enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|octubre|noviembre|diciembre"
-TAIL = 1200  # characters from the end in which the last words and the closing lines are sought
+TAIL = 1200  # characters from the end in which the last words and the closing lines are sought at a time
 ENDING = 600  # characters of what then ends the text that hold its last three words
 CLOSING = 0.15  # share of ends among all uses of an unmarked trigram that shows it may end a text
 RARE_END = 0.004  # share of ends under which a marked trigram is the inside of a sentence
@@ -50,8 +50,14 @@ def _tokens(text: Column) -> Column:
 
 def _ending(text: Column) -> Column:
     """The last characters of the text without what is set aside and without a mark of omission."""
-    tail = F.rtrim(F.substring(text, -TAIL, TAIL), F.lit(" \t\n\r\f\x0b\xa0"))
-    bare = F.coalesce(F.nullif(F.regexp_replace(tail, _SET_ASIDE, ""), F.lit("")), tail)
+    whole = F.rtrim(text, F.lit(" \t\n\r\f\x0b\xa0"))
+    last = lambda c: F.substring(c, -TAIL, TAIL)
+    less = lambda c: F.regexp_replace(last(c), _SET_ASIDE, "")
+    # where closing lines fill most of the tail, tail after tail is set aside: a turn takes half a tail at least, or nothing is left to take
+    turns = F.sequence(F.lit(0), (F.length(whole) / (TAIL // 2)).cast("int"))
+    far = F.aggregate(turns, whole, lambda c, _: F.concat(F.substring(c, F.lit(1), F.length(c) - TAIL), less(c)))
+    bare = F.when((F.length(whole) > TAIL) & (F.length(less(whole)) < ENDING), far).otherwise(less(whole))
+    bare = F.coalesce(F.nullif(bare, F.lit("")), last(whole))
     return F.regexp_replace(F.substring(bare, -ENDING, ENDING), _MARKER, "")
 
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from foliomill.llm import truncation
 from foliomill.operators import lineage
 from foliomill.plans import registry
 
@@ -112,3 +113,11 @@ def test_evidence_spans_look_at_the_whole_text(spark, tmp_path):
     got = given(spark, "q_evidence_spans", "candidate_id", "evidence", data=str(tmp_path))
     assert [r[1] for r in got] == ["exact", "not_found", "moved", "exact", "not_found", "no_text", "no_text", "no_page"]
     assert got == asked(SPANS, str(tmp_path))
+
+
+def test_ending_behind_much_that_is_set_aside(spark):
+    body = "La sala examina el recurso.\n" * 60 + "La sala acoge la demanda, con"
+    after = ["", " " * 1500, "\n" * 3000, "\n- 7 -" * 250, "\nTotal 12\n\n" * 150 + " " * 1300, "\n- 7 -" * 30_000]
+    df = spark.createDataFrame([(i, body + x) for i, x in enumerate(after)], "i int, text string")
+    got = dict(df.select("i", truncation._ending(df["text"])).collect())
+    assert {i: t.strip()[-500:] for i, t in got.items()} == {i: body[-500:] for i in range(len(after))}
