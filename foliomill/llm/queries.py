@@ -91,4 +91,22 @@ QUERIES = {
     "p8_found": p8_found,
     "p8_shared": p8_shared,
 }
-ORACLES: dict[str, str] = {}
+
+#: Brute force: every window of 200 characters of every text.
+_WINDOWS = """
+WITH w AS (
+  SELECT doc_id, i, substr(text, i, 200) AS s FROM documents, unnest(range(1, length(text) - 198)) AS t(i)
+  WHERE length(text) >= 200),
+k AS (SELECT s FROM w GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+h AS (SELECT DISTINCT doc_id, i, s FROM w SEMI JOIN k USING (s))
+"""
+ORACLES: dict[str, str] = {
+    "p8_found": _WINDOWS
+    + "SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM h a JOIN h b ON a.s = b.s AND a.doc_id < b.doc_id",
+    "p8_shared": _WINDOWS
+    + """, f AS (
+  SELECT doc_id, i, coalesce(max(i + 200) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS far
+  FROM h),
+c AS (SELECT doc_id, sum(i + 200 - greatest(i, far)) AS n FROM f GROUP BY doc_id)
+SELECT d.doc_id, length(d.text)::BIGINT AS n_chars, coalesce(c.n, 0)::BIGINT AS shared_chars FROM documents d LEFT JOIN c USING (doc_id)""",
+}

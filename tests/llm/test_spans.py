@@ -54,7 +54,7 @@ def test_long_texts_are_cut_without_loss(spark, monkeypatch):
     got = set()
     for i, text in docs:
         for ids, offsets, texts in spans._pieces(__import__("pyarrow").RecordBatch.from_pydict({"c": [i], "t": [text]}), 200):
-            which, at, names = spans.anchors(texts, 200)
+            which, at, names = spans.blocks(texts, 200)
             got |= {(h, ids[w]) for w, h in zip(which.tolist(), names.tolist())}
     shared = {h for h, i in got if i == 1} & {h for h, i in got if i == 2}
     assert shared and not {h for h, i in got if i == 3} & {h for h, i in got if i == 1}
@@ -82,6 +82,69 @@ def test_shared_characters(spark):
     assert got == {1: 550, 2: 250, 3: 300, 4: 0, 5: 0, 6: 0, 7: 301, 8: 301}
 
 
+@pytest.mark.parametrize("length", [180, 195, 199])
+def test_a_formula_below_the_span_gives_no_candidates(spark, length):
+    rng = random.Random(6)
+    formula = noise(rng, length)
+    docs = [(i, noise(rng, 150) + chr(0x4E00 + i) + formula + chr(0x5E00 + i) + noise(rng, 150)) for i in range(1500)]
+    passage = noise(rng, 260)
+    docs += [(9000, formula + "%" + passage), (9001, passage + "#" + formula)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    # each text's own letters beside the formula keep its windows apart
+    members = spans.shared_passages(df)
+    assert members.count() <= 4 and rows(spans.shared_span_pairs(df)) == [(9000, 9001)]
+
+
+def test_members_are_linear_in_a_hot_passage(spark):
+    rng = random.Random(7)
+    passage = noise(rng, 420)
+    docs = [(i, noise(rng, 60) + passage + noise(rng, 60)) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    members = spans.shared_passages(df)
+    assert members.count() <= 5 * 400 and spans.shared_span_pairs(df).count() == 400 * 399 // 2
+    assert {r[2] for r in spans.shared_characters(df).collect()} <= set(range(420, 430))
+
+
+def shared_brute(docs, span):
+    out = {}
+    for i, x in docs:
+        hit = bytearray(len(x or ""))
+        for j, y in docs:
+            if i != j and x and y:
+                windows = {y[k : k + span] for k in range(len(y) - span + 1)}
+                for k in range(len(x) - span + 1):
+                    if x[k : k + span] in windows:
+                        hit[k : k + span] = b"\1" * span
+        out[i] = sum(hit)
+    return out
+
+
+def test_shared_characters_against_brute_force(spark):
+    rng = random.Random(8)
+    base = noise(rng, 3000)
+    docs = []
+    for i in range(25):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            a = rng.randrange(2700)
+            parts += [noise(rng, rng.randrange(120)), base[a : a + rng.choice([150, 199, 200, 205, 230, 300, 700])]]
+        docs.append((i, "".join(parts)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {r[0]: r[2] for r in spans.shared_characters(df).collect()} == shared_brute(docs, 200)
+    assert sorted(rows(spans.shared_span_pairs(df))) == brute(docs, 200)
+
+
+@pytest.mark.parametrize("span", [116, 140])
+def test_other_spans(spark, span):
+    rng = random.Random(span)
+    base = noise(rng, 900)
+    docs = [(i, noise(rng, 70) + base[a : a + span + i - 10] + noise(rng, 70)) for i, a in enumerate([rng.randrange(600) for _ in range(30)])]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert sorted(rows(spans.shared_span_pairs(df, span))) == brute(docs, span)
+    with pytest.raises(ValueError):
+        spans.shared_characters(df, 115)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert rows(spans.shared_span_pairs(df)) == [] and rows(spans.shared_characters(df)) == []
