@@ -10,10 +10,11 @@ WORDS = "la sentencia impugnada casa el recurso interpuesto por la parte recurre
 
 def lexicon(**more):
     words = {w: 500 for w in WORDS} | {w: 500 for w in ("histórico-jurídico,", "Análisis", "teórico")} | more
-    return sr.Lexicon(words, frozenset({"boletín judicial núm. 0"}), 3.0).ready()
+    return sr.Lexicon(words, 3.0).ready()
 
 
 LEX = lexicon()
+HEADS = frozenset(sr.line_names("BOLETÍN JUDICIAL NÚM. 1"))
 
 
 def test_clean_texts_have_no_traces():
@@ -29,9 +30,9 @@ def test_clean_texts_have_no_traces():
 
 
 def test_each_trace_is_found():
-    marks = ["- 7 -", "12", "[ 9 ]", "Pág. 3", "Página 2 de 40", "3/44", "| 5 |", "BOLETÍN JUDICIAL NÚM. 83", "BOLETÍN JUDICIAL NÚM. 83 | 4", "BOLFTÍN JUDICIAL NÚM. 83"]
+    marks = ["- 7 -", "12", "[ 9 ]", "Pág. 3", "Página 2 de 40", "3/44", "| 5 |", "BOLETÍN JUDICIAL NÚM. 83", "BOLETÍN JUDICIAL NÚM. 83 | 4", "BOLFTÍN JUDICIAL NÚM. 83", "8OLETÍN JUDICIAL NÚM. 83", "BOLETÃ\xadN JUDICIAL NÃšM. 83"]
     for m in marks:
-        assert sr.traces(f"la parte recurrente\n{m}\ncontra una", LEX), m
+        assert sr.traces(f"la parte recurrente\n{m}\ncontra una", LEX, HEADS), m
     for t in ("la senten-\ncia", "la senten¬\ncia", "la senten\xad\n cia", "la sentericia", "la 5entencia", "el recur5o,", "la c0rte"):
         assert sr.traces(t, LEX), t
 
@@ -41,7 +42,7 @@ def test_repair():
         "BOLETÍN JUDICIAL NÚM. 83\nla sentencia impugnada casa el recur-\nso interpuesto por la parte recurrente\n- 7 -\n"
         "contra una dec!sión de la corte.\nla parte recurrente\n12"
     )
-    got = sr.repair(text, LEX)
+    got = sr.repair(text, LEX, HEADS)
     assert "recurso interpuesto por la parte recurrente contra una decisión de la corte." in got
     assert "BOLETÍN" not in got and "7" not in got and "12" not in got
     assert sr.repair("Análisis histórico-\njurídico, la parte", LEX) == "Análisis histórico-jurídico, la parte"
@@ -52,10 +53,25 @@ def test_paragraphs_of_flat_text_stay():
     assert sr.repair(flat, LEX).count("\n\n") == 2
 
 
-def test_decode_splits_and_joins():
-    assert sr._decode(["recursointerpuesto"], LEX) == "recurso interpuesto"
-    assert sr._decode(["senten", "cia"], LEX) == "sentencia"
-    assert sr._decode(["xyzzyq"], LEX) == "xyzzyq"
+def test_decode_is_joint():
+    read = lambda *lines: sr.decode(list(lines), LEX)
+    assert read("recursointerpuesto") == ("recurso interpuesto", {"word"})
+    assert read("la senten cia,") == ("la sentencia,", {"space"})
+    assert read("la senten", "cia.") == ("la sentencia.", {"line"})
+    assert read("xyzzyq") == ("xyzzyq", frozenset())
+    assert read("la «senten-", "cia», casa") == ("la «sentencia», casa", {"line"})
+    # a divided word with a confusion in it, and a confusion beside a missing space
+    assert read("la senten-", "c!a impugnada") == ("la sentencia impugnada", {"line", "confusion"})
+    assert read("la parte recurr-", "ente casa el recur5o") == ("la parte recurrente casa el recurso", {"line", "confusion"})
+    # a half that is a word of its own
+    assert read("la recurren", "te contra") == ("la recurrente contra", {"line"})
+
+
+def test_long_words_and_texts():
+    long = "x" * 5000
+    assert sr.decode([long], LEX) == (long, frozenset())
+    assert sr.decode(["a" * 300 + "-", "b" * 300], LEX)[1] == {"line"}
+    assert sr.decode([], LEX) == ("", frozenset())
 
 
 def test_on_tables(spark):
@@ -75,5 +91,6 @@ def test_running_heads_are_learned(spark):
     rng = random.Random(2)
     long = lambda: " ".join(rng.choice(WORDS) for _ in range(40))
     data = [("t", i, f"{long()}\nGACETA DE FALLOS {i}\n{long()}", 1) for i in range(10)]
-    lex = sr.learn(spark.createDataFrame(data, SCHEMA))
-    assert lex.heads == {"gaceta de fallos 0"}
+    data += [("t", 20, f"{long()}\nGACFTA DE FALLOS 7\n{long()}", 1), ("t", 21, f"{long()}\nOTRA COSA DICE 7\n{long()}.", 1)]
+    _, held = sr.learn(spark.createDataFrame(data, SCHEMA))
+    assert held.count() == 11 and {k for r in held.collect() for k in r["heads"]} == set(sr.line_names("GACETA DE FALLOS 1"))
