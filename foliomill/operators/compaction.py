@@ -1,11 +1,17 @@
-"""Size-tiered compaction of journals kept in many tiny objects.
+"""Size-tiered, incremental compaction of journals kept in many tiny objects.
 
-Files are sorted into tiers by size (tier t holds sizes up to ``base_bytes * fanout ** t``). Level by level the files
-of a tier are packed, in key order, into merges of about the next tier's size; a merge keeps each record once, the copy
-that comes first by (object_key, line_no). The last level distributes records by their hash over ``target_bytes`` sized
-files, so that every record stands in exactly one of them. Each merge is a transaction named by the hash of its inputs;
-the journal records inputs, outputs and what each merge dropped, and a transaction that the journal already holds is
-not run again: a second run over the same listing reads the finished output.
+**Index.** Every line that is new to the folder becomes a narrow row (place, 128-bit name of its record, size). The first
+line of a record, by object key as plain bytes and line number, is the one that counts; whether a record is new is decided
+on these rows alone, so texts are not shuffled for it.
+
+**Tiers.** Files are sorted into tiers by size (tier t holds sizes up to ``base_bytes * fanout ** t``). Tier by tier the files
+that no merge has taken up yet are packed, in key order, into merges of about the next tier's size; each merge is one file,
+which holds the texts of its inputs' records once. A file alone in its place, or of over half the target, is left as it is.
+
+**Journal.** Each merge is a transaction named by its inputs. Data is written first, then the journal row with inputs and
+outputs, then a numbered commit that makes both count. A run over the same listing finds nothing new; a run over one more
+object indexes that object and merges it with what is in its tier, and all other files keep their names. Files that a later
+merge has taken up are deleted after its commit. Of two runs at the same time one gets ``ConcurrentRun``.
 
 Defined results: a record is a line that is a complete JSON object; two records are the same if all fields have the
 same values, an absent field being null and ``recorded_at`` an instant. Null, blank and broken lines are no records. A
@@ -15,18 +21,25 @@ null sizes count as 0. Lines with a null key or number come first. Empty tables
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliomill.runtime import fresh_path, shared_dir
+from foliomill.operators.ranges import placed
+from foliomill.runtime import fresh_path, materialize, shared_dir
 
-DROPPED_SCHEMA = "object_key string, line_no int, level int, txn string"
+INDEX_SCHEMA = "file string, object_key string, line_no int, record string, h bigint, bytes bigint, stored boolean"
+DATA_SCHEMA = "record string, object_key string, line_no int, line_text string"
 JOURNAL_SCHEMA = (
-    "txn string, level int, run string, inputs bigint, input_bytes bigint, records_in bigint, records_out bigint"
+    "txn string, level int, run string, inputs bigint, input_bytes bigint, records_in bigint, records_out bigint, "
+    "output_bytes bigint, files array<string>"
 )
+MOST_INPUTS = 1 << 16  # files of one merge
+MOST_TASKS = 1 << 14  # of one tier; a task writes several merges where there are more
+NO_KEY = "\x00"  # the file of lines without a key
 
 
 @dataclass(frozen=True)
@@ -35,11 +48,18 @@ class Tiers:
     fanout: int = 64
     target_bytes: int = 128 * 1024 * 1024
 
-    def levels(self, total_bytes: int) -> int:
-        """Tiers below the target that files of this total can climb through before the last, hash-distributed level."""
-        n, size = 1, self.base_bytes * self.fanout
-        while size < min(self.target_bytes, max(total_bytes, 1)) and n < 20:
-            n, size = n + 1, size * self.fanout
+    def bound(self, tier: int) -> int:
+        """The largest size of a tier."""
+        return self.base_bytes * self.fanout**tier if tier >= 0 else -1
+
+    def goal(self, tier: int) -> int:
+        """What a merge of files of this tier is to reach."""
+        return min(self.bound(tier + 1), self.target_bytes)
+
+    def count(self) -> int:
+        n = 1
+        while self.bound(n - 1) < self.target_bytes // 2 and n < 40:
+            n += 1
         return n
 
 
@@ -56,150 +76,223 @@ def named_records(lines: DataFrame, column: str = "line_text") -> DataFrame:
     return lines.withColumn("record", F.expr(f"transform(array(try_parse_json(concat('[', {column}, ']'))), a -> {name})[0]"))
 
 
-def file_sizes(lines: DataFrame, objects: DataFrame) -> DataFrame:
-    """(file, bytes) of every object that has lines: the latest listed size, else the length of its lines."""
-    listed = objects.groupBy(F.col("key").alias("file")).agg(
+def file_sizes(held: DataFrame, objects: DataFrame) -> DataFrame:
+    """(file, bytes) of the objects ``held`` (file, object_key, held): the latest listed size, else the length of their lines."""
+    listed = objects.groupBy("key").agg(
         F.max_by(F.coalesce("size", F.lit(0)), F.struct("listed_at", "last_modified", "size")).alias("listed")
     )
-    held = lines.groupBy(F.col("object_key").alias("file")).agg(
-        F.sum(F.coalesce(F.octet_length("line_text"), F.lit(0)) + 1).alias("held")
-    )
-    return held.join(listed, held["file"].eqNullSafe(listed["file"]), "left").select(
-        held["file"], F.coalesce("listed", "held").alias("bytes")
-    )
+    rows = held.join(listed, held["object_key"].eqNullSafe(listed["key"]), "left")
+    return rows.select("file", F.coalesce("listed", "held").alias("bytes"))
 
 
-def plan_level(files: DataFrame, tiers: Tiers, level: int) -> DataFrame:
-    """(file, bytes, txn): files of like size packed in key order into merges of about the next tier's size.
+def plan_tier(files: DataFrame, tiers: Tiers, tier: int, close: bool = True) -> DataFrame:
+    """(file, bytes, records, object, level, txn): the files of one tier that are merged, in key order.
 
-    Packing runs within hash groups of some sixteen merges each, so that no task sees more than a bounded number of files.
+    A merge takes files up to about the next tier's size; a file alone stays as it is, and so does one of over half the
+    target. Unless the run is to ``close`` the tier, a merge waits for half its size or ``fanout`` files.
     """
-    goal = tiers.base_bytes * tiers.fanout**level
-    total = files.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
-    groups = int(max(1, total[0] // (16 * goal), total[1] // 100_000))
-    tier = F.floor(F.log(float(tiers.fanout), F.greatest(F.col("bytes") / tiers.base_bytes, F.lit(1e-9))))
-    placed = files.select(
-        "file",
-        "bytes",
-        F.greatest(tier, F.lit(-1)).alias("tier"),
-        F.pmod(F.xxhash64(F.coalesce("file", F.lit(""))), F.lit(groups)).alias("grp"),
-    )
-    before = Window.partitionBy("tier", "grp").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.withColumn("slot", F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / goal))
-    merge = Window.partitionBy("tier", "grp", "slot")
-    name = F.md5(
-        F.concat_ws(
-            "/",
-            F.lit(level),
-            F.bit_xor(F.xxhash64("file", "bytes")).over(merge),
-            F.bit_xor(F.xxhash64("bytes", "file", F.lit("second"))).over(merge),
-            F.count(F.lit(1)).over(merge),
-        )
+    least, most, goal = tiers.bound(tier - 1), min(tiers.bound(tier), tiers.target_bytes // 2), tiers.goal(tier)
+    here = files.where((F.col("bytes") > least) & (F.col("bytes") <= most)) if tier else files.where(F.col("bytes") <= most)
+    # a file weighs something even where it is empty, so that a merge has at most MOST_INPUTS of them
+    weight = F.greatest("bytes", F.lit(max(1, goal // MOST_INPUTS)))
+    slots = placed(here, F.asc("file"), value=weight).withColumn("slot", F.floor(F.col("before") / goal))
+    merges = slots.groupBy("slot").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("bytes").alias("size"),
+        F.md5(F.concat_ws("\n", F.lit(str(tier + 1)), F.array_sort(F.collect_list("file")))).alias("txn"),
     )
-    return placed.select("file", "bytes", name.alias("txn"))
+    fires = F.col("n") > 1 if close else (F.col("n") >= tiers.fanout) | (F.col("n") > 1) & (F.col("size") >= goal // 2)
+    return slots.join(merges.where(fires), "slot").select("file", "bytes", "records", "object", F.lit(tier + 1).alias("level"), "txn")
+
+
+class ConcurrentRun(RuntimeError):
+    """Another run committed to the same folder in the meantime; run again to take up what it left."""
 
 
 class Journal:
-    """Transactions done, one append per level run; data that no journal row names does not count."""
+    """Commits by number. Each names the folders it makes valid; a folder that no commit names does not count, so a run broken
+    before its commit is done again in full, and of two runs only one can take a number."""
 
     def __init__(self, spark: SparkSession, workdir: str):
-        self.spark, self.path, self.data = spark, f"{workdir}/journal", f"{workdir}/data"
+        self.spark, self.workdir = spark, workdir
+        self.folder = spark._jvm.org.apache.hadoop.fs.Path(f"{workdir}/commits")
+        self.fs = self.folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        self.entries = self._read()
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
+    def _read(self) -> dict[int, dict]:
+        if not self.fs.exists(self.folder):
+            return {}
+        out = {}
+        for status in self.fs.listStatus(self.folder):
+            stream = self.fs.open(status.getPath())
+            try:
+                out[int(status.getPath().getName())] = json.loads(stream.readUTF()) if status.getLen() else {}
+            finally:
+                stream.close()
+        return dict(sorted(out.items()))
+
+    def commit(self, **entry) -> None:
+        number = max(self.entries, default=0) + 1
+        try:
+            stream = self.fs.create(self._path(f"{self.workdir}/commits/{number:08d}"), False)
+        except Exception as error:
+            raise ConcurrentRun(f"commit {number} of {self.workdir} is taken") from error
+        try:
+            stream.writeUTF(json.dumps(entry))
+        finally:
+            stream.close()
+        self.entries[number] = entry
+
+    def folders(self, kind: str) -> list[str]:
+        return [e[kind] for e in self.entries.values() if e.get(kind)]
+
+    def read(self, kind: str, schema: str) -> DataFrame:
+        folders = [f"{self.workdir}/{x}" for x in self.folders(kind)]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
 
     def rows(self) -> DataFrame:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return self.spark.createDataFrame([], JOURNAL_SCHEMA)
-        return self.spark.read.schema(JOURNAL_SCHEMA).parquet(self.path)
-
-    def done(self) -> DataFrame:
-        return self.rows().select("txn").distinct()
-
-    def commit(self, rows: DataFrame) -> None:
-        rows.select(*self.spark.createDataFrame([], JOURNAL_SCHEMA).columns).write.mode("append").parquet(self.path)
+        return self.read("merges", JOURNAL_SCHEMA)
+
+    def consumed(self) -> DataFrame:
+        return self.rows().select(F.explode("files").alias("file"))
+
+    def data(self) -> DataFrame:
+        """(file, record, object_key, line_no, line_text) of every merge that no later one has taken up."""
+        kept = [x for x in self.folders("data") if self.fs.exists(self._path(f"{self.workdir}/{x}"))]
+        if not kept:
+            return self.spark.createDataFrame([], f"file string, {DATA_SCHEMA}")
+        parts = [self.spark.read.schema(f"{DATA_SCHEMA}, file string").parquet(f"{self.workdir}/{x}") for x in kept]
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part)
+        return rows.join(self.consumed(), "file", "left_anti").select("file", *[c.split()[0] for c in DATA_SCHEMA.split(", ")])
+
+    def clean(self) -> None:
+        """Deletes the files of merges that later ones have taken up; they are committed, so nothing refers to them."""
+        gone = {r["file"] for r in self.consumed().join(self.rows().select(F.col("txn").alias("file")), "file", "left_semi").collect()}
+        for folder in self.folders("data"):
+            path = self._path(f"{self.workdir}/{folder}")
+            if not gone or not self.fs.exists(path):
+                continue
+            parts = [s.getPath() for s in self.fs.listStatus(path) if s.getPath().getName().startswith("file=")]
+            old = [p for p in parts if p.getName().removeprefix("file=") in gone]
+            for p in [path] if len(old) == len(parts) else old:
+                self.fs.delete(p, True)
 
 
 @dataclass
 class Compacted:
-    records: DataFrame  # object_key, line_no, record, line_text, file_no
-    dropped: DataFrame  # object_key, line_no, level, txn
-    journal: DataFrame
+    records: DataFrame  # object_key, line_no, record, line_text, file
+    dropped: DataFrame  # object_key, line_no
+    journal: DataFrame  # a row for each merge
 
 
 def compact(
-    lines: DataFrame, objects: DataFrame, tiers: Tiers | None = None, workdir: str | None = None
+    lines: DataFrame, objects: DataFrame, tiers: Tiers | None = None, workdir: str | None = None, close: bool = True
 ) -> Compacted:
     """Compact ``lines`` (object_key, line_no, line_text) of the listing ``objects`` (key, size, listed_at,
-    last_modified). With the same ``workdir`` a second run takes up what the journal holds."""
+    last_modified). With the same ``workdir`` a later run reads what is new, and merges only that and what it meets."""
     tiers, spark = tiers or Tiers(), lines.sparkSession
     workdir = workdir or fresh_path(spark, "compaction")
     shared_dir(spark)
-    journal = Journal(spark, workdir)
+    journal, run = Journal(spark, workdir), uuid.uuid4().hex
     lines = lines.select("object_key", F.col("line_no").cast("int").alias("line_no"), "line_text")
-    files = file_sizes(lines, objects)
-    rows = named_records(lines).where("record is not null").withColumn("file", F.col("object_key"))
-    total = files.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    levels = tiers.levels(total)
-    outputs = []
-    for level in range(1, levels + 1):
-        plan_path = f"{workdir}/plan/level={level}"
-        plan_level(files, tiers, level).write.mode("overwrite").parquet(plan_path)
-        plan = spark.read.schema("file string, bytes bigint, txn string").parquet(plan_path)
-        pending = plan.join(journal.done(), "txn", "left_anti").withColumnRenamed("file", "__f")
-        if not pending.isEmpty():
-            first = Window.partitionBy("txn", "record").orderBy("object_key", "line_no")
-            merged = (
-                rows.join(pending.select("__f", "txn"), F.col("file").eqNullSafe(F.col("__f")))
-                .withColumn("kept", F.row_number().over(first) == 1)
-                .select("txn", "record", "object_key", "line_no", "line_text", "kept")
-            )
-            _commit(journal, merged, plan, level)
-        out = _output(journal, level).join(plan.select("txn").distinct(), "txn", "left_semi")
-        outputs.append(out)
-        rows = out.where("kept").drop("kept").withColumn("file", F.col("txn")).drop("txn")
-        files = rows.groupBy("file").agg(F.sum(F.octet_length("line_text") + 1).alias("bytes"))
-    level = levels + 1
-    size = files.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1)), F.expr("bit_xor(xxhash64(file))")).first()
-    count = max(1, -(-size[0] // tiers.target_bytes))
-    name = f"final-{size[2]}-{size[1]}-{count}"
-    if journal.done().where(F.col("txn") == name).isEmpty():
-        # one shuffle: the partition that decides a record is the file that keeps it; each merge below sent a record once
-        first = Window.partitionBy("record").orderBy("object_key", "line_no")
-        merged = rows.repartition(count, "record").withColumn("kept", F.row_number().over(first) == 1)
-        merged = merged.select(
-            F.lit(name).alias("txn"), "record", "object_key", "line_no", F.when(F.col("kept"), F.col("line_text")).alias("line_text"), "kept"
-        )
-        merged = merged.sortWithinPartitions("kept", "object_key", "line_no")
-        _commit(journal, merged, files.select("bytes", F.lit(name).alias("txn")), level)
-    out = _output(journal, level).where(F.col("txn") == name)
-    outputs.append(out)
-    records = out.where("kept").select("object_key", "line_no", "record", "line_text")
-    records = records.withColumn("file_no", F.pmod(F.hash("record"), F.lit(count)))  # as repartition() places them
-    dropped = spark.createDataFrame([], DROPPED_SCHEMA)
-    for i, o in enumerate(outputs):
-        dropped = dropped.unionAll(o.where("not kept").select("object_key", "line_no", F.lit(i + 1), "txn"))
-    return Compacted(records, dropped, journal.rows())
-
-
-LEVEL_SCHEMA = "txn string, record string, object_key string, line_no int, line_text string, kept boolean"
-
-
-def _commit(journal: Journal, merged: DataFrame, plan: DataFrame, level: int) -> None:
-    """Data first, then the journal rows that make them count; a run broken between the two is done again in full."""
-    run = uuid.uuid4().hex
-    path = f"{journal.data}/level={level}/run={run}"
-    merged.select(*[c.split()[0] for c in LEVEL_SCHEMA.split(", ")]).write.parquet(path)
-    held = journal.spark.read.schema(LEVEL_SCHEMA).parquet(path)
-    counts = held.groupBy("txn").agg(F.count(F.lit(1)).alias("records_in"), F.count_if("kept").alias("records_out"))
-    inputs = plan.groupBy("txn").agg(F.count(F.lit(1)).alias("inputs"), F.sum("bytes").alias("input_bytes"))
-    rows = inputs.join(counts, "txn", "left").fillna(0, ["records_in", "records_out"])
-    journal.commit(rows.select("*", F.lit(level).alias("level"), F.lit(run).alias("run")))
-
-
-def _output(journal: Journal, level: int) -> DataFrame:
-    """All merges of a level that the journal names; there are as many runs as calls that had new input."""
-    runs = [r[0] for r in journal.rows().where(F.col("level") == level).select("run").distinct().collect()]
-    if not runs:
-        return journal.spark.createDataFrame([], LEVEL_SCHEMA)
-    paths = [f"{journal.data}/level={level}/run={r}" for r in runs]
-    return journal.spark.read.schema(LEVEL_SCHEMA).parquet(*paths)
+    _index(journal, lines, run)
+    seen = journal.read("index", INDEX_SCHEMA)
+    held = seen.groupBy("file", "object_key").agg(F.sum("bytes").alias("held"), F.count("record").alias("records"))
+    held = materialize(held, "compaction-objects")
+    sizes = file_sizes(held, objects).join(held.select("file", "records"), "file")
+    taken = journal.consumed()
+    first = sizes.select("file", "bytes", "records", F.lit(True).alias("object"))
+    for tier in range(tiers.count()):
+        merged = journal.rows().select(F.col("txn").alias("file"), F.col("output_bytes").alias("bytes"), F.col("records_out").alias("records"), F.lit(False).alias("object"))
+        live = first.unionByName(merged).join(journal.consumed(), "file", "left_anti")
+        plan = materialize(plan_tier(live, tiers, tier, close), "compaction-plan")
+        if not plan.isEmpty():
+            _merge(journal, plan, lines, seen, run)
+    journal.clean()
+    return _result(journal, lines, seen)
+
+
+def _index(journal: Journal, lines: DataFrame, run: str) -> None:
+    """Writes a row for each line not seen before; ``stored`` marks the line whose text stands for a record that is new."""
+    old = journal.read("index", INDEX_SCHEMA)
+    known = bool(journal.folders("index"))
+    file = F.coalesce("object_key", F.lit(NO_KEY))
+    if known:
+        o = old.select(F.col("object_key").alias("k"), F.col("line_no").alias("n")).distinct()
+        lines = lines.join(o, lines["object_key"].eqNullSafe(o["k"]) & lines["line_no"].eqNullSafe(o["n"]), "left_anti")
+        file = F.concat(file, F.lit(f"@{run}"))  # lines that an object got later are a file of their own
+    rows = named_records(lines).select(
+        file.alias("file"), "object_key", "line_no", "record", F.xxhash64("line_text").alias("h"),
+        F.coalesce(F.octet_length("line_text"), F.lit(0)).cast("bigint").alias("size"),
+    )
+    rows = materialize(rows.withColumn("bytes", F.col("size") + 1).drop("size"), "compaction-lines")
+    if known and rows.isEmpty():
+        return
+    # narrow rows only; a record sent everywhere is one row of each task before the shuffle
+    winners = _winners(rows)
+    if known:
+        winners = winners.join(old.where("record is not null").select("record").distinct(), "record", "left_anti")
+    stored = winners.select("record", "w", F.lit(True).alias("stored"))
+    place = F.struct("object_key", "line_no")
+    out = rows.join(stored, "record", "left").select(
+        "file", "object_key", "line_no", "record", "h", "bytes", F.coalesce(F.col("stored") & (place == F.col("w")), F.lit(False)).alias("stored")
+    )
+    out.write.parquet(f"{journal.workdir}/index/run={run}")
+    journal.commit(index=f"index/run={run}")
+
+
+def _winners(rows: DataFrame) -> DataFrame:
+    """(record, w) with the place of each record's first line: keys as plain bytes, nulls first."""
+    return rows.where("record is not null").groupBy("record").agg(F.min(F.struct("object_key", "line_no")).alias("w"))
+
+
+def _texts(lines: DataFrame, stored: DataFrame) -> DataFrame:
+    """The lines at the places of ``stored`` (object_key, line_no, h, ...) with its other columns."""
+    s = stored.withColumnsRenamed({"object_key": "k", "line_no": "n"})
+    same = lines["object_key"].eqNullSafe(s["k"]) & lines["line_no"].eqNullSafe(s["n"]) & (F.xxhash64(lines["line_text"]) == s["h"])
+    return lines.join(s, same).drop("k", "n", "h")
+
+
+def _merge(journal: Journal, plan: DataFrame, lines: DataFrame, seen: DataFrame, run: str) -> None:
+    """Data first, then the journal rows, then the commit that makes both count."""
+    spark, level = journal.spark, plan.select("level").first()[0]
+    columns = ["txn", *[c.split()[0] for c in DATA_SCHEMA.split(", ")]]
+    stored = seen.where("stored").join(plan.where("object").select("file", "txn"), "file").select("object_key", "line_no", "h", "record", "txn")
+    rows = _texts(lines, stored).select(*columns)
+    if level > 1:
+        rows = rows.unionByName(journal.data().join(plan.where("not object").select("file", "txn"), "file").select(*columns))
+    count = min(plan.select("txn").distinct().count(), MOST_TASKS)
+    once = Window.partitionBy("txn", "record").orderBy("object_key", "line_no")
+    # all of a merge is in one task, which writes it as one file
+    rows = rows.repartition(count, "txn").withColumn("r", F.row_number().over(once)).where("r = 1").drop("r")
+    rows = rows.withColumnRenamed("txn", "file").sortWithinPartitions("file", "object_key", "line_no")
+    folder = f"data/level={level}/run={run}"
+    rows.write.mode("overwrite").partitionBy("file").parquet(f"{journal.workdir}/{folder}")
+    written = spark.read.schema(f"{DATA_SCHEMA}, file string").parquet(f"{journal.workdir}/{folder}")
+    out = written.groupBy(F.col("file").alias("txn")).agg(F.count(F.lit(1)).alias("records_out"), F.sum(F.octet_length("line_text") + 1).alias("output_bytes"))
+    inputs = plan.groupBy("txn", "level").agg(
+        F.count(F.lit(1)).alias("inputs"), F.sum("bytes").alias("input_bytes"), F.sum("records").alias("records_in"), F.array_sort(F.collect_list("file")).alias("files")
+    )
+    done = inputs.join(out, "txn", "left").fillna(0, ["records_out", "output_bytes"]).withColumn("run", F.lit(run))
+    done.select(*[c.split()[0] for c in JOURNAL_SCHEMA.split(", ")]).write.mode("overwrite").parquet(f"{journal.workdir}/merges/level={level}/run={run}")
+    journal.commit(merges=f"merges/level={level}/run={run}", data=folder)
+
+
+def _result(journal: Journal, lines: DataFrame, seen: DataFrame) -> Compacted:
+    waiting = seen.where("stored").join(journal.consumed(), "file", "left_anti")
+    waiting = _texts(lines, waiting.select("file", "object_key", "line_no", "h", "record")).dropDuplicates(["record"])
+    columns = ["file", "object_key", "line_no", "record", "line_text"]
+    records = journal.data().select(*columns).unionByName(waiting.select(*columns))
+    winners = _winners(seen)
+    if len(journal.folders("index")) > 1:  # a record's first line may have come with a later run
+        records = records.drop("object_key", "line_no").join(winners, "record").select("*", "w.object_key", "w.line_no")
+    place = F.struct("object_key", "line_no")
+    dropped = seen.join(winners, "record").where(place != F.col("w")).select("object_key", "line_no")
+    return Compacted(records.select("object_key", "line_no", "record", "line_text", "file"), dropped, journal.rows())

@@ -97,10 +97,31 @@ r AS (
 k AS (SELECT *, row_number() OVER (PARTITION BY record ORDER BY encode(object_key), line_no) AS rn FROM r)
 """
 
+#: Tier by tier: files of like size in key order, packed by the bytes before them; the sizes are those of Tiers().
+_JOURNAL = """,
+s AS (SELECT object_key, count(*) FILTER (record IS NOT NULL) AS records, sum(coalesce(octet_length(encode(line_text)), 0) + 1) AS held
+      FROM (SELECT p.object_key, p.line_no, p.line_text, r.record FROM p LEFT JOIN r ON p.object_key = r.object_key AND p.line_no = r.line_no)
+      GROUP BY object_key),
+o AS (SELECT key, arg_max(coalesce(size, 0), (listed_at, last_modified, size)) AS listed FROM stored_objects GROUP BY key),
+f AS (SELECT object_key, records, coalesce(listed, held) AS bytes FROM s LEFT JOIN o ON s.object_key = o.key),
+b1 AS (SELECT *, floor(coalesce(sum(greatest(bytes, 64)) OVER (ORDER BY encode(object_key) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 4194304)
+              AS slot FROM f WHERE bytes <= 65536),
+m1 AS (SELECT slot, count(*) AS inputs, sum(bytes) AS input_bytes, sum(records) AS records_in FROM b1 GROUP BY slot HAVING count(*) > 1),
+w1 AS (SELECT b1.slot, count(*) AS records_out, sum(octet_length(encode(k.line_text)) + 1) AS output_bytes
+       FROM k JOIN b1 USING (object_key) JOIN m1 USING (slot) WHERE rn = 1 GROUP BY b1.slot),
+l1 AS (SELECT m1.*, coalesce(records_out, 0) AS records_out, coalesce(output_bytes, 0) AS output_bytes FROM m1 LEFT JOIN w1 USING (slot)),
+l2 AS (SELECT output_bytes AS bytes, records_out AS records FROM l1 WHERE output_bytes > 65536 AND output_bytes <= 4194304
+       UNION ALL SELECT bytes, records FROM f WHERE bytes > 65536 AND bytes <= 4194304)
+SELECT 1 AS level, count(*) AS merges, sum(inputs)::BIGINT AS files_in, sum(input_bytes)::BIGINT AS bytes_in, sum(records_in)::BIGINT AS records_in,
+       sum(records_out)::BIGINT AS records_out FROM l1 HAVING count(*) > 0
+UNION ALL SELECT 2, 1, count(*), sum(bytes)::BIGINT, sum(records)::BIGINT, sum(records)::BIGINT FROM l2 HAVING count(*) > 1 AND sum(bytes) < 134217728
+"""
+
 ORACLES = {
     "p2_found": _P2 + "SELECT * FROM j WHERE change_kind IS NOT NULL",
     "p2_change_counts": _P2
     + "SELECT snapshot_no, change_kind, count(*) AS n_keys FROM j WHERE change_kind IS NOT NULL GROUP BY ALL",
     "p3_found": _P3 + "SELECT object_key, line_no FROM k WHERE rn > 1",
+    "p3_journal": _P3 + _JOURNAL,
     "p3_records": _P3 + "SELECT object_key, line_no, length(line_text) AS n_chars FROM k WHERE rn = 1",
 }
