@@ -21,13 +21,13 @@ null sizes count as 0. Lines with a null key or number come first. Empty tables
 
 from __future__ import annotations
 
-import json
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from foliomill.operators.commits import Commits
 from foliomill.operators.ranges import placed
 from foliomill.runtime import fresh_path, materialize, shared_dir
 
@@ -105,49 +105,8 @@ def plan_tier(files: DataFrame, tiers: Tiers, tier: int, close: bool = True) ->
     return slots.join(merges.where(fires), "slot").select("file", "bytes", "records", "object", F.lit(tier + 1).alias("level"), "txn")
 
 
-class ConcurrentRun(RuntimeError):
-    """Another run committed to the same folder in the meantime; run again to take up what it left."""
-
-
-class Journal:
-    """Commits by number. Each names the folders it makes valid; a folder that no commit names does not count, so a run broken
-    before its commit is done again in full, and of two runs only one can take a number."""
-
-    def __init__(self, spark: SparkSession, workdir: str):
-        self.spark, self.workdir = spark, workdir
-        self.folder = spark._jvm.org.apache.hadoop.fs.Path(f"{workdir}/commits")
-        self.fs = self.folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        self.entries = self._read()
-
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
-
-    def _read(self) -> dict[int, dict]:
-        if not self.fs.exists(self.folder):
-            return {}
-        out = {}
-        for status in self.fs.listStatus(self.folder):
-            stream = self.fs.open(status.getPath())
-            try:
-                out[int(status.getPath().getName())] = json.loads(stream.readUTF()) if status.getLen() else {}
-            finally:
-                stream.close()
-        return dict(sorted(out.items()))
-
-    def commit(self, **entry) -> None:
-        number = max(self.entries, default=0) + 1
-        try:
-            stream = self.fs.create(self._path(f"{self.workdir}/commits/{number:08d}"), False)
-        except Exception as error:
-            raise ConcurrentRun(f"commit {number} of {self.workdir} is taken") from error
-        try:
-            stream.writeUTF(json.dumps(entry))
-        finally:
-            stream.close()
-        self.entries[number] = entry
-
-    def folders(self, kind: str) -> list[str]:
-        return [e[kind] for e in self.entries.values() if e.get(kind)]
+class Journal(Commits):
+    """The index, the merges and their data, as far as commits name them."""
 
     def read(self, kind: str, schema: str) -> DataFrame:
         folders = [f"{self.workdir}/{x}" for x in self.folders(kind)]
@@ -163,7 +122,7 @@ class Journal:
 
     def data(self) -> DataFrame:
         """(file, record, object_key, line_no, line_text) of every merge that no later one has taken up."""
-        kept = [x for x in self.folders("data") if self.fs.exists(self._path(f"{self.workdir}/{x}"))]
+        kept = [x for x in self.folders("data") if self.fs.exists(self.path(x))]
         if not kept:
             return self.spark.createDataFrame([], f"file string, {DATA_SCHEMA}")
         parts = [self.spark.read.schema(f"{DATA_SCHEMA}, file string").parquet(f"{self.workdir}/{x}") for x in kept]
@@ -176,7 +135,7 @@ class Journal:
         """Deletes the files of merges that later ones have taken up; they are committed, so nothing refers to them."""
         gone = {r["file"] for r in self.consumed().join(self.rows().select(F.col("txn").alias("file")), "file", "left_semi").collect()}
         for folder in self.folders("data"):
-            path = self._path(f"{self.workdir}/{folder}")
+            path = self.path(folder)
             if not gone or not self.fs.exists(path):
                 continue
             parts = [s.getPath() for s in self.fs.listStatus(path) if s.getPath().getName().startswith("file=")]

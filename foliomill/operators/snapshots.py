@@ -1,9 +1,9 @@
 """Changes between consecutive full snapshots, by a bucketed key-to-hash index.
 
-Every snapshot becomes an index: one row per key with the 128-bit hash of the key and the hash of its value, in a table
-bucketed by key hash. Snapshot n is diffed by probing the index of the snapshot before it with its own index; both are
-bucketed alike, so the probe reads two narrow column sets without a shuffle. The wide key values are fetched only for
-the keys that changed. The new index then takes the place of the old one.
+A snapshot's index has one row per key with the 128-bit hash of the key and the hash of its value, bucketed by key hash. The
+index of the last snapshot is stored. A new delivery becomes an index with the same buckets, which probes the stored one
+over the narrow columns without a shuffle; the wide key values are fetched only for the keys that changed. Then the new
+index takes the place of the old one. Several snapshots delivered at once are indexed with one shuffle and probed in turn.
 
 Defined results: surrounding white space is trimmed from keys and hashes, hashes compare in lower case, URLs with their
 scheme and host in lower case. Of several rows of a key in a snapshot the latest ``recorded_at`` counts (null is the
@@ -19,7 +19,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomill.runtime import fresh_path, shuffle_partitions
+from foliomill.operators.commits import Commits
+from foliomill.runtime import fresh_path, materialize, shuffle_partitions
 
 #: The characters with the Unicode property White_Space.
 WHITE_SPACE = (
@@ -50,17 +51,56 @@ def key_hashes(*cols: Column) -> tuple[Column, Column]:
 
 
 class SnapshotIndex:
-    """Indexes of successive snapshots in one bucketed table; ``diff`` probes one with the next."""
-
-    def __init__(self, spark: SparkSession, buckets: int | None = None):
-        self.spark = spark
-        self.buckets = buckets or shuffle_partitions(spark)
-        self.name = f"snapshot_index_{uuid.uuid4().hex}"
-        self.path = fresh_path(spark, "snapshot-index")
-
-    def build(self, rows: DataFrame) -> list[int]:
-        """Index every snapshot of ``rows`` with one shuffle; returns the snapshot numbers in order."""
-        clean = rows.where(F.col("snapshot_no").isNotNull()).select(
+    """The key-to-hash index of the last snapshot, kept in ``workdir`` between deliveries.
+
+    ``apply`` takes the next delivery, probes the stored index with it, fetches values for the keys that changed, and swaps:
+    a commit makes the new index the stored one, and the old one is deleted. A run broken before the commit leaves the
+    stored index as it was, and the delivery is applied again.
+    """
+
+    def __init__(self, spark: SparkSession, workdir: str, buckets: int | None = None):
+        self.spark, self.commits = spark, Commits(spark, workdir)
+        self.workdir = workdir
+        state = self.commits.folders("state")
+        self.snapshot, self.folder, self.buckets = state[-1] if state else (None, None, buckets)
+
+    def apply(self, rows: DataFrame) -> DataFrame:
+        """The changes of each snapshot in ``rows`` that is newer than the stored one, in order; all are applied."""
+        rows = rows.where(F.col("snapshot_no").isNotNull())
+        if self.snapshot is not None:
+            rows = rows.where(F.col("snapshot_no") > self.snapshot)
+        self.buckets = self.buckets or _buckets(rows)
+        staged = f"index-{uuid.uuid4().hex}"
+        name = self._stage(rows, staged)
+        numbers = sorted(r[0] for r in self.spark.table(name).select("snapshot_no").distinct().collect())
+        changes = f"changes-{uuid.uuid4().hex}"
+        old = self._stored(self.folder) if self.snapshot is not None else None
+        before = self.snapshot
+        for number in numbers:
+            if old is not None:
+                self._diff((old, before), (name, number), f"{changes}/{number}")
+            if old not in (None, name):
+                self.spark.sql(f"DROP TABLE {old}")
+            old, before = name, number
+        self.spark.sql(f"DROP TABLE {name}")  # the files stay; what is read below is read by its path
+        if numbers:
+            gone = self.folder
+            self.snapshot, self.folder = numbers[-1], staged
+            self.commits.commit(state=[self.snapshot, self.folder, self.buckets])
+            if gone:
+                self.commits.delete(gone)
+            for number in numbers[:-1]:  # snapshots that have been passed
+                self.commits.delete(f"{staged}/snapshot_no={number}")
+        else:
+            self.commits.delete(staged)
+        done = [f"{self.workdir}/{changes}/{n}" for n in numbers if self.commits.fs.exists(self.commits.path(f"{changes}/{n}"))]
+        if not done:
+            return self.spark.createDataFrame([], CHANGE_SCHEMA)
+        return self.spark.read.schema(CHANGE_SCHEMA).parquet(*done)
+
+    def _stage(self, rows: DataFrame, folder: str) -> str:
+        """Indexes every snapshot of ``rows`` with one shuffle, as a bucketed table."""
+        clean = rows.select(
             F.col("snapshot_no").cast("int"),
             trimmed(F.col("source_identifier")).alias("source_identifier"),
             normal_url(F.col("document_url")).alias("document_url"),
@@ -80,49 +120,61 @@ class SnapshotIndex:
             .agg(F.max_by(kept, age).alias("kept"))
             .select("snapshot_no", "k1", "k2", "kept.*")
         )
+        name = _table_name(folder)
         (
             latest.write.partitionBy("snapshot_no")
             .bucketBy(self.buckets, "k1", "k2")
             .sortBy("k1", "k2")
-            .option("path", self.path)
-            .saveAsTable(self.name)
+            .option("path", f"{self.workdir}/{folder}")
+            .saveAsTable(name)
         )
-        return sorted(r[0] for r in self.spark.table(self.name).select("snapshot_no").distinct().collect())
-
-    def index(self, snapshot: int) -> DataFrame:
-        return self.spark.table(self.name).where(F.col("snapshot_no") == snapshot).select("k1", "k2", "v1", "v2")
-
-    def values(self, snapshot: int) -> DataFrame:
-        return (
-            self.spark.table(self.name)
-            .where(F.col("snapshot_no") == snapshot)
-            .select("k1", "k2", "source_identifier", "document_url")
+        return name
+
+    def _stored(self, folder: str) -> str:
+        """The stored index as a table of the session, with its buckets."""
+        name = _table_name(folder)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} (k1 BIGINT, k2 BIGINT, source_identifier STRING, document_url STRING, v1 BIGINT, "
+            f"v2 BIGINT, snapshot_no INT) USING parquet PARTITIONED BY (snapshot_no) "
+            f"CLUSTERED BY (k1, k2) SORTED BY (k1, k2) INTO {self.buckets} BUCKETS LOCATION '{self.workdir}/{folder}'"
         )
+        self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        return name
+
+    def _rows(self, place: tuple[str, int]) -> DataFrame:
+        return self.spark.table(place[0]).where(F.col("snapshot_no") == place[1])
 
-    def diff(self, old: int, new: int) -> DataFrame:
-        """Probe the old index with the new one, then fetch values: the new ones for what is there, the old ones for
-        what is gone."""
-        o = self.index(old).select("k1", "k2", F.col("v1").alias("o1"), F.col("v2").alias("o2"))
-        n = self.index(new).select("k1", "k2", F.col("v1").alias("n1"), F.col("v2").alias("n2"))
+    def _diff(self, old: tuple[str, int], new: tuple[str, int], out: str) -> None:
+        """One probe over the narrow columns of both indexes, then the values of what it found."""
+        o = self._rows(old).select("k1", "k2", F.col("v1").alias("o1"), F.col("v2").alias("o2"))
+        n = self._rows(new).select("k1", "k2", F.col("v1").alias("n1"), F.col("v2").alias("n2"))
         kind = (
             F.when(F.col("o1").isNull(), "added")
             .when(F.col("n1").isNull(), "removed")
             .when((F.col("o1") != F.col("n1")) | (F.col("o2") != F.col("n2")), "changed")
         )
-        changes = n.join(o, ["k1", "k2"], "full_outer").select("k1", "k2", kind.alias("change_kind"))
-        changes = changes.where(F.col("change_kind").isNotNull())
-        gone = changes.where(F.col("change_kind") == "removed").join(self.values(old), ["k1", "k2"])
-        there = changes.where(F.col("change_kind") != "removed").join(self.values(new), ["k1", "k2"])
-        out = F.lit(new).cast("int").alias("snapshot_no"), "source_identifier", "document_url", "change_kind"
-        return gone.select(*out).unionAll(there.select(*out))
+        found = n.join(o, ["k1", "k2"], "full_outer").select("k1", "k2", kind.alias("change_kind"))
+        found = materialize(found.where(F.col("change_kind").isNotNull()), "snapshot-probe")
+        fetch = lambda place, keys: keys.join(
+            self._rows(place).select("k1", "k2", "source_identifier", "document_url"), ["k1", "k2"]
+        ).select(F.lit(new[1]).cast("int").alias("snapshot_no"), "source_identifier", "document_url", "change_kind")
+        gone, there = found.where("change_kind = 'removed'"), found.where("change_kind <> 'removed'")
+        fetch(old, gone).unionAll(fetch(new, there)).write.parquet(f"{self.workdir}/{out}")
+
+
+def _table_name(folder: str) -> str:
+    return "snapshot_" + folder.replace("-", "_")
+
+
+BUCKET_BYTES = 128 << 20
+
+
+def _buckets(rows: DataFrame) -> int:
+    """By the size of the rows, so that a bucket of a snapshot fits a task whatever the number of shuffle partitions."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return int(min(max(shuffle_partitions(rows.sparkSession), size // BUCKET_BYTES), 1 << 16))
 
 
 def snapshot_changes(rows: DataFrame, buckets: int | None = None) -> DataFrame:
     """Added, removed and changed keys of each snapshot against the one before it."""
-    spark = rows.sparkSession
-    index = SnapshotIndex(spark, buckets)
-    numbers = index.build(rows)
-    result = spark.createDataFrame([], CHANGE_SCHEMA)
-    for old, new in zip(numbers, numbers[1:]):  # the new index is the old one of the next turn
-        result = result.unionAll(index.diff(old, new))
-    return result
+    return SnapshotIndex(rows.sparkSession, fresh_path(rows.sparkSession, "snapshots"), buckets).apply(rows)

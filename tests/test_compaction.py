@@ -4,7 +4,8 @@ from datetime import datetime
 import pytest
 from tests.conftest import rows
 
-from foliomill.operators.compaction import ConcurrentRun, Journal, Tiers, compact, named_records
+from foliomill.operators.commits import ConcurrentRun
+from foliomill.operators.compaction import Journal, Tiers, compact, named_records
 
 LINES = "object_key string, line_no int, line_text string"
 OBJECTS = "key string, size bigint, last_modified double, listed_at timestamp"

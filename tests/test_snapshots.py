@@ -2,7 +2,7 @@ from datetime import datetime
 
 from tests.conftest import rows
 
-from foliomill.operators.snapshots import snapshot_changes
+from foliomill.operators.snapshots import SnapshotIndex, snapshot_changes
 
 SCHEMA = (
     "snapshot_no int, source_identifier string, document_url string, sha256 string, recorded_at timestamp, delivered_at timestamp, extra string"
@@ -76,3 +76,22 @@ def test_null_keys_empty_and_single(spark):
 
 def test_skips_to_the_snapshot_before(spark):
     assert changes(spark, [row(1, "a", "u", "s"), row(4, "a", "u", "t")]) == [(4, "a", "u", "changed")]
+
+
+def test_deliveries_one_by_one_swap_the_index(spark, tmp_path):
+    data = [
+        [row(1, "a", "u", "s1"), row(1, "b", "u", "s2")],
+        [row(2, "a", "u", "s3"), row(2, "c", "u", "s2")],
+        [row(3, "a", "u", "s3"), row(3, "b", "u", "s2"), row(4, "b", "u", None)],
+    ]
+    path = f"file://{tmp_path}/index"
+    got = []
+    for delivery in data:
+        got += rows(SnapshotIndex(spark, path, buckets=3).apply(spark.createDataFrame(delivery, SCHEMA)))
+    assert sorted(got, key=repr) == changes(spark, [r for d in data for r in d]) and len(got) == 7
+    # only the last index is kept, and the session holds no table of it
+    held = [p for p in (tmp_path / "index").iterdir() if p.name.startswith("index-")]
+    assert len(held) == 1 and [p.name for p in held[0].iterdir() if p.is_dir()] == ["snapshot_no=4"]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("snapshot_")]
+    again = SnapshotIndex(spark, path).apply(spark.createDataFrame(data[2], SCHEMA))
+    assert rows(again) == []
