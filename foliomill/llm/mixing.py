@@ -1,8 +1,10 @@
 """Mixes sources to target shares of all tokens by balanced sampling (the cube method).
 
-The total of the mix is the largest for which every source can give its share: a source whose tokens, repeated at most
-``max_repeats`` times, run out first sets it. A source then needs each of its records ``r`` times on average. Every record
-is used floor(r) times; the fraction left is an inclusion probability. The flight phase of the cube method moves these
+The total of the mix is a parameter. Where it is not given, it is the largest for which every source can give its share, but
+not less than ``LEAST_PART`` of the tokens there are: a source that has next to nothing falls short of its share and does not
+shrink the mix. A source whose tokens, repeated at most ``max_repeats`` times, do not reach its share gives all it may, and
+the others make up for it in proportion to their shares, as far as they can. A source then needs each of its records ``r``
+times on average. Every record is used floor(r) times; the fraction left is an inclusion probability. The flight phase of the cube method moves these
 probabilities through the null space of the constraints (tokens and number of records), two records that matter and one to
 spare at a time, until each is 0 or 1 but for at most two in a block: the expected totals are kept exactly on the way.
 
@@ -12,7 +14,7 @@ side that leaves the token total nearest its target.
 
 Defined results: records are matched to a source by its name without surrounding white space, in lower case, with ``-`` as
 ``_``. Records of no target source, null sources included, are not used. Null and empty texts have no tokens; they are
-given like others, as copies cost nothing. A source without tokens gets no share; the shares of the rest are kept in
+given like others, as copies cost nothing. A source without tokens gives nothing; the shares of the rest are kept in
 proportion. Null or negative shares count as 0, null repeats as 1. Empty tables give no rows.
 """
 
@@ -29,6 +31,7 @@ from foliomill.llm.tokenize import token_counts
 from foliomill.runtime import materialize
 
 BLOCK = 4096
+LEAST_PART = 0.5
 
 
 def source_key(col: Column) -> Column:
@@ -113,28 +116,49 @@ def targets_of(targets: DataFrame) -> DataFrame:
     )
 
 
-def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
+def allotted(sources: list[dict], total: float | None) -> list[float]:
+    """How many tokens each of ``sources`` (target_share, max_repeats, n_tokens) gives to a mix of ``total``."""
+    able = [i for i, s in enumerate(sources) if s["n_tokens"] and s["target_share"] > 0 and s["max_repeats"] > 0]
+    most = {i: float(sources[i]["max_repeats"] * sources[i]["n_tokens"]) for i in able}
+    out = [0.0] * len(sources)
+    if total is None and able:
+        share = sum(sources[i]["target_share"] for i in able)
+        met = min(most[i] * share / sources[i]["target_share"] for i in able)
+        total = max(met, LEAST_PART * sum(sources[i]["n_tokens"] for i in able))
+    left = min(float(total or 0.0), sum(most.values()))
+    while able:
+        share = sum(sources[i]["target_share"] for i in able)
+        short = [i for i in able if left * sources[i]["target_share"] / share >= most[i]]
+        for i in short or able:
+            out[i] = most[i] if short else left * sources[i]["target_share"] / share
+        if not short:
+            break
+        left -= sum(most[i] for i in short)
+        able = [i for i in able if i not in short]
+    return out
+
+
+def plan(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
     """(key, target_share, max_repeats, n_docs, n_tokens, uses): how often a record of each source is used on average."""
     held = sizes.groupBy(source_key(F.col("source")).alias("key")).agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens")
     )
-    rows = targets_of(targets).join(held, "key", "left")
-    able = (F.coalesce("n_tokens", F.lit(0)) > 0) & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)
-    limit = F.when(able, F.col("max_repeats") * F.col("n_tokens") / F.col("target_share"))
-    total = rows.select(F.min(limit).alias("total"))
-    uses = F.when(able, F.least(F.col("total") * F.col("target_share") / F.col("n_tokens"), F.col("max_repeats").cast("double")))
-    return rows.crossJoin(F.broadcast(total)).select(  # one row
-        "key", "target_share", "max_repeats", "n_docs", "n_tokens", F.coalesce(uses, F.lit(0.0)).alias("uses")
-    )
+    rows = targets_of(targets).join(held, "key", "left").select("key", "target_share", "max_repeats", "n_docs", "n_tokens")
+    sources = [r.asDict() for r in rows.collect()]  # a row for each target source: a parameter of fixed size
+    given = allotted(sources, total)
+    planned = [(*s.values(), g / s["n_tokens"] if g else 0.0) for s, g in zip(sources, given)]
+    return sizes.sparkSession.createDataFrame(planned, "key string, target_share double, max_repeats int, n_docs bigint, n_tokens bigint, uses double")
 
 
-def mix(docs: DataFrame, targets: DataFrame, path: str | None = None, block: int = BLOCK, id_col: str = "doc_id") -> DataFrame:
-    """(id_col, source, n_tokens, copies): each record that the mix uses, and how many times."""
-    return _mixed(sized(docs, path, id_col), targets, block).withColumnRenamed("id", id_col)
+def mix(
+    docs: DataFrame, targets: DataFrame, path: str | None = None, block: int = BLOCK, id_col: str = "doc_id", total: float | None = None
+) -> DataFrame:
+    """(id_col, source, n_tokens, copies): each record that the mix of ``total`` tokens uses, and how many times."""
+    return _mixed(sized(docs, path, id_col), targets, block, total).withColumnRenamed("id", id_col)
 
 
-def _mixed(sizes: DataFrame, targets: DataFrame, block: int) -> DataFrame:
-    planned = materialize(plan(sizes, targets), "mix-plan")
+def _mixed(sizes: DataFrame, targets: DataFrame, block: int, total: float | None = None) -> DataFrame:
+    planned = plan(sizes, targets, total)
     # a row for each target source: the targets are a parameter of fixed size
     rows = sizes.withColumn("key", source_key(F.col("source"))).join(F.broadcast(planned.select("key", "uses", "n_docs")), "key")
     rows = rows.where("uses > 0").select(
@@ -170,17 +194,19 @@ def _mixed(sizes: DataFrame, targets: DataFrame, block: int) -> DataFrame:
     return used.where("copies > 0")
 
 
-def shares(docs: DataFrame, targets: DataFrame, path: str | None = None, block: int = BLOCK, id_col: str = "doc_id") -> DataFrame:
+def shares(
+    docs: DataFrame, targets: DataFrame, path: str | None = None, block: int = BLOCK, id_col: str = "doc_id", total: float | None = None
+) -> DataFrame:
     """(source, target_share, actual_share, n_docs, n_copies, n_tokens, greatest_repeat) of each target source."""
-    used = _mixed(sized(docs, path, id_col), targets, block)
+    used = _mixed(sized(docs, path, id_col), targets, block, total)
     sums = used.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.sum("copies").alias("n_copies"),
         F.sum(F.col("copies") * F.col("n_tokens")).alias("n_tokens"),
         F.max("copies").alias("greatest_repeat"),
     )
-    total = sums.agg(F.sum("n_tokens").alias("total"))
-    rows = targets_of(targets).withColumnRenamed("key", "source").join(sums, "source", "left").crossJoin(F.broadcast(total))
+    whole = sums.agg(F.sum("n_tokens").alias("total"))
+    rows = targets_of(targets).withColumnRenamed("key", "source").join(sums, "source", "left").crossJoin(F.broadcast(whole))
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     share = F.coalesce(F.try_divide("n_tokens", "total"), F.lit(0.0))
     return rows.select(

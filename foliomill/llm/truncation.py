@@ -23,12 +23,11 @@ from foliomill.runtime import materialize
 #: Months of the language of the corpus.
 MONTHS = "enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|octubre|noviembre|diciembre"
 TAIL = 1200  # characters from the end in which the last words and the closing lines are sought at a time
-ENDING = 600  # characters of what then ends the text that hold its last three words
+ENDING = 600  # characters of what then ends the text that hold its last three words, unless these are longer
 CLOSING = 0.15  # share of ends among all uses of an unmarked trigram that shows it may end a text
 RARE_END = 0.004  # share of ends under which a marked trigram is the inside of a sentence
 SUPPORT, MARK_SUPPORT = 3, 300  # ends, and uses, that must have been seen
 FRAGMENT = 5  # times as many longer words with the same beginning
-SALTS = 16
 
 _MARKER = r"(?:\[\s*(?:\.{2,}|…)\s*\]|\(\s*(?:\.{2,}|…)\s*\)|…|\.{2,})\s*$"
 #: A last line of its own that is short, begins with a capital, a figure or a sign and ends with a figure or a bracket.
@@ -58,7 +57,9 @@ def _ending(text: Column) -> Column:
     far = F.aggregate(turns, whole, lambda c, _: F.concat(F.substring(c, F.lit(1), F.length(c) - TAIL), less(c)))
     bare = F.when((F.length(whole) > TAIL) & (F.length(less(whole)) < ENDING), far).otherwise(less(whole))
     bare = F.coalesce(F.nullif(bare, F.lit("")), last(whole))
-    return F.regexp_replace(F.substring(bare, -ENDING, ENDING), _MARKER, "")
+    bare = F.regexp_replace(bare, _MARKER, "")
+    short = F.substring(bare, -ENDING, ENDING)
+    return F.when(short.rlike(r"(?:\S+\s+){4}\S"), short).otherwise(bare)  # words of hundreds of letters are taken whole
 
 
 def _records(df: DataFrame, name: str, id_col: str, text_col: str) -> DataFrame:
@@ -121,7 +122,10 @@ def _verdicts(counts: DataFrame) -> DataFrame:
     closers = two.where((F.col("n_end") >= SUPPORT) & (F.col("n_end") >= CLOSING * F.greatest("n_in", "n_end")))
     closers = closers.where("length(w3) >= 5 and w3 rlike '^[a-z]+$'").select("w2", F.col("w3").alias("closer"))
     odd = two.where(F.greatest("n_in", "n_end") < 10 * SUPPORT).where("length(w3) >= 5").select("w2", "w3")
-    misread = odd.join(closers, "w2").where("w3 <> closer and levenshtein(w3, closer, 2) between 0 and 2")
+    # words of one place are compared only where their first or their last letters are the same
+    edges = lambda word: F.explode(F.array(F.concat(F.lit("<"), F.left(word, F.lit(2))), F.concat(F.lit(">"), F.right(word, F.lit(2))))).alias("edge")
+    odd, closers = odd.select("*", edges(F.col("w3"))), closers.select("*", edges(F.col("closer")))
+    misread = odd.join(closers, ["w2", "edge"]).where("w3 <> closer and levenshtein(w3, closer, 2) between 0 and 2")
     rows = rows.join(misread.select("w2", "w3", F.lit(True).alias("misread")).distinct(), ["w2", "w3"], "left")
     # inside counts hold every use, so they are at least the ends; texts with closing lines set aside count both ways
     rate = lambda e, n: F.col(e) / F.greatest(F.col(n), F.col(e))
@@ -145,10 +149,9 @@ def truncated(records: DataFrame) -> DataFrame:
     finals = final_trigrams(written, keep)
     counts = materialize(trigram_counts(written, finals), "trigrams")
     verdicts = materialize(_verdicts(counts).where("cut").select("w1", "w2", "w3"), "trigram-verdicts")
-    # an ending may be shared by a third of all texts: each verdict goes to SALTS places
-    salted = verdicts.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    finals = finals.withColumn("salt", F.pmod(F.xxhash64("table_name", "record_id"), F.lit(SALTS)).cast("int"))
-    judged = finals.join(salted.withColumn("hit", F.lit(True)), ["w1", "w2", "w3", "salt"], "left")
+    # an ending may be shared by a third of all texts: the side that holds them is the left one of a left join, whose large
+    # partitions Spark splits by their size at run time
+    judged = finals.join(verdicts.withColumn("hit", F.lit(True)), ["w1", "w2", "w3"], "left")
     return judged.select(*keep, F.coalesce("hit", F.lit(False)).alias("cut"))
 
 

@@ -44,6 +44,30 @@ def test_shares_are_met(spark, block):
     assert len({r["id"] for r in used}) == len(used)
 
 
+def test_allotted():
+    s = lambda share, most, n: {"target_share": share, "max_repeats": most, "n_tokens": n}
+    near = lambda a, b: all(abs(x - y) < 1e-6 * max(1, y) for x, y in zip(a, b)) and len(a) == len(b)
+    # every share can be met
+    assert near(mixing.allotted([s(0.5, 1, 1000), s(0.5, 2, 400)], None), [800, 800])
+    # a source of next to nothing falls short; the mix does not shrink to it
+    assert near(mixing.allotted([s(0.95, 1, 2_000_000), s(0.05, 3, 10)], None), [1_000_005 - 30, 30])
+    # the others make up in proportion, and no more than they may
+    assert near(mixing.allotted([s(0.2, 1, 10), s(0.4, 1, 10_000), s(0.4, 1, 400)], 1000), [10, 590, 400])
+    assert near(mixing.allotted([s(0.5, 1, 100), s(0.5, 1, 100)], 1e9), [100, 100])
+    assert mixing.allotted([s(0.5, 1, None), s(0.0, 1, 5)], None) == [0, 0] and mixing.allotted([], None) == []
+
+
+def test_a_nearly_empty_source(spark):
+    data = [(i, "big", 1000) for i in range(2000)] + [(9999, "tiny", 10)]
+    sizes = spark.createDataFrame(data, "id bigint, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("big", 0.95, 1), ("tiny", 0.05, 3)], TARGETS)
+    used = mixing._mixed(sizes, targets, 256).collect()
+    total = sum(r["copies"] * r["n_tokens"] for r in used)
+    assert abs(total - 1_000_005) <= 1000 and [r["copies"] for r in used if r["source"] == "tiny"] == [3]
+    half = mixing._mixed(sizes, targets, 256, total=500_000).collect()
+    assert abs(sum(r["copies"] * r["n_tokens"] for r in half) - 500_000) <= 1000
+
+
 def test_odd_targets(spark):
     targets = spark.createDataFrame([("big", None, 1), ("mid", 1.0, None), ("small_one", -1.0, 3)], TARGETS)
     used = mixing._mixed(sizes(spark), targets, 4096)

@@ -36,3 +36,18 @@ def test_report_and_empty(spark):
     report = {r["source"]: (r["n_records"], r["n_cut"]) for r in tr.truncation_report(spark.createDataFrame(data, SCHEMA)).collect()}
     assert report["s"][0] == 150 and report[None][0] == 151
     assert rows(tr.truncated(spark.createDataFrame([], SCHEMA))) == []
+
+
+def test_very_long_words_and_tails(spark):
+    rng = random.Random(3)
+    data = [("t", i, "s", whole(rng)) for i in range(300)]
+    data += [("t", 1000, "s", "la sala acoge " + "x" * 5000), ("t", 1001, "s", whole(rng).splitlines()[0] + " La sala acoge la demanda, con" + "\n" * 3000), ("t", 1002, "s", "y" * 3000)]
+    judged = {r["record_id"]: r["cut"] for r in tr.truncated(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert len(judged) == 303 and judged[1001]
+
+
+def test_one_ending_of_a_third_of_all_texts(spark):
+    rng = random.Random(4)
+    data = [("t", i, "s", whole(rng) if i % 3 else whole(rng).splitlines()[0] + " La sala acoge la demanda, con") for i in range(900)]
+    judged = tr.truncated(spark.createDataFrame(data, SCHEMA)).collect()
+    assert len(judged) == 900
