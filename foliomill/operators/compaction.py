@@ -228,10 +228,12 @@ def _merge(journal: Journal, plan: DataFrame, lines: DataFrame, seen: DataFrame,
     if level > 1:
         rows = rows.unionByName(journal.data().join(plan.where("not object").select("file", "txn"), "file").select(*columns))
     count = min(plan.select("txn").distinct().count(), MOST_TASKS)
-    once = Window.partitionBy("txn", "record").orderBy("object_key", "line_no")
     # all of a merge is in one task, which writes it as one file
-    rows = rows.repartition(count, "txn").withColumn("r", F.row_number().over(once)).where("r = 1").drop("r")
-    rows = rows.withColumnRenamed("txn", "file").sortWithinPartitions("file", "object_key", "line_no")
+    rows = rows.repartition(count, "txn")
+    if level == 1:  # a row given twice has its text twice; what merges hold, they hold once
+        once = Window.partitionBy("txn", "record").orderBy("object_key", "line_no")
+        rows = rows.withColumn("r", F.row_number().over(once)).where("r = 1").drop("r")
+    rows = rows.withColumnRenamed("txn", "file").sortWithinPartitions("file")
     folder = f"data/level={level}/run={run}"
     rows.write.mode("overwrite").partitionBy("file").parquet(f"{journal.workdir}/{folder}")
     written = spark.read.schema(f"{DATA_SCHEMA}, file string").parquet(f"{journal.workdir}/{folder}")
