@@ -16,8 +16,10 @@ book = Book()
 
 @book.add(
     "FLT-21 FLT-23",
-    """WITH p AS (SELECT candidate_id, substr(candidate_text, 11, 40) AS excerpt, s.text FROM candidate_texts c LEFT JOIN source_texts s USING (text_id) WHERE length(candidate_text) >= 50)
-       SELECT candidate_id, CASE WHEN text IS NULL THEN 'no_page' WHEN substr(text, 11, 40) = excerpt THEN 'exact' WHEN contains(text, excerpt) THEN 'moved' ELSE 'not_found' END AS evidence FROM p""",
+    """SELECT candidate_id, CASE WHEN text IS NULL THEN 'no_page' WHEN coalesce(candidate_text, '') = '' THEN 'no_text'
+         WHEN starts_with(text, candidate_text) THEN 'exact'
+         WHEN len(list_filter(range(1, length(candidate_text) + 1, 40), lambda i: NOT contains(text, substr(candidate_text, i, 40)))) = 0 THEN 'moved' ELSE 'not_found' END AS evidence
+       FROM candidate_texts LEFT JOIN source_texts USING (text_id)""",
 )
 def q_evidence_spans(spark: SparkSession, d: str) -> DataFrame:
     """Whether all of a candidate stands where it is said to, elsewhere on the page, or nowhere: the weakest of its excerpts of 40."""

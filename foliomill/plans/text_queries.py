@@ -146,11 +146,11 @@ def q_filename_from_url(spark: SparkSession, d: str) -> DataFrame:
 @book.add(
     "ARR-03",
     """WITH p AS (SELECT source_artifact_id, string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY page_index, text_id) AS t, count(*) FILTER (text IS NULL OR trim(text) = '') AS n_open
-                  FROM source_texts WHERE page_index IS NOT NULL AND source_artifact_id <> 'art-000000000' GROUP BY 1)
+                  FROM source_texts WHERE page_index IS NOT NULL GROUP BY 1)
        SELECT source_artifact_id, md5(t) AS h, n_open FROM p""",
 )
 def q_page_reconstruct(spark: SparkSession, d: str) -> DataFrame:
-    """Every artifact's pages as one text, in order. The SQL above leaves out art-000000000 and null keys; these rows are more."""
+    """Every artifact's pages as one text, in order, and how many of them are open."""
     rows = table(spark, d, "source_texts").where("page_index is not null")
     blank = F.col("text").isNull() | (F.trim("text") == "")
     pages = rows.select("source_artifact_id", "page_index", "text_id", F.coalesce("text", F.lit("")).alias("t"), blank.alias("blank"))

@@ -1,7 +1,7 @@
 """Session-level helpers: reading tables and writing intermediate results.
 
 Intermediate tables go to the folder named by ``spark.checkpoint.dir``, which all executors of a cluster share; only
-where that setting is absent (tests, a laptop) is a folder of our own used.
+where that setting is absent and Spark runs in one process (tests, a laptop) is a folder of our own used.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables; also makes it Spark's checkpoint folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + os.path.join(tempfile.gettempdir(), "foliomill-checkpoints")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
