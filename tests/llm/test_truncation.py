@@ -51,3 +51,11 @@ def test_one_ending_of_a_third_of_all_texts(spark):
     data = [("t", i, "s", whole(rng) if i % 3 else whole(rng).splitlines()[0] + " La sala acoge la demanda, con") for i in range(900)]
     judged = tr.truncated(spark.createDataFrame(data, SCHEMA)).collect()
     assert len(judged) == 900
+
+
+def test_ending_behind_much_that_is_set_aside(spark):
+    body = "La sala examina el recurso.\n" * 60 + "La sala acoge la demanda, con"
+    after = ["", " " * 1500, "\n" * 3000, "\n- 7 -" * 250, "\nTotal 12\n\n" * 150 + " " * 1300, "\n- 7 -" * 30_000]
+    df = spark.createDataFrame([(i, body + x) for i, x in enumerate(after)], "i int, text string")
+    got = dict(df.select("i", tr._ending(df["text"])).collect())
+    assert {i: t.strip()[-500:] for i, t in got.items()} == {i: body[-500:] for i in range(len(after))}
