@@ -105,6 +105,17 @@ def numeric_date(text: Column) -> Column:
     return F.try_to_date(F.concat_ws("-", part(3), F.lpad(part(2), 2, "0"), F.lpad(part(1), 2, "0")), "yyyy-MM-dd")
 
 
+def is_blank(text: Column) -> Column:
+    """Null, empty or nothing but white space; never null itself."""
+    return F.coalesce(~text.rlike(r"(?U)\S"), F.lit(True))
+
+
+def has_replacements(text: Column) -> Column:
+    """Whether more than one in a thousand characters is a replacement character."""
+    lost = F.length(text) - F.length(F.translate(text, "\ufffd", ""))
+    return (F.length(text) > 0) & (lost > 0.001 * F.length(text))
+
+
 def quality_flags(text: Column) -> Column:
     """Reasons why a text may be of no use: empty, replacement characters, mostly empty lines, fragments."""
     all_lines = lines(text)

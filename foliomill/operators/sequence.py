@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from foliomill.operators.ranges import attach, placed_within
+
 
 def runs(df: DataFrame, group: list[str], place: str) -> DataFrame:
     """(group, first, last, length) of the maximal runs of consecutive integers."""
@@ -81,24 +83,69 @@ def overlaps(df: DataFrame, group: list[str], start: str, end: str, key: str) ->
     ).drop("__e", "__o")
 
 
-def pack(df: DataFrame, group: str, place: str, cost: str, budget: int, most: int) -> DataFrame:
-    """``batch`` of each row: rows in order, a batch ends before it would pass the budget or the count.
+PACK_CHUNK = 4096
 
-    A fold has no closed form, so each group is one task; choose groups that fit one.
-    """
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(place, kind="stable")
-        batch, total, n, out = 0, 0, 0, []
-        for c in rows[cost].fillna(0).tolist():
-            if n and (total + c > budget or n >= most):
-                batch, total, n = batch + 1, 0, 0
-            total, n = total + c, n + 1
-            out.append(batch)
-        return rows.assign(batch=out)
+def pack(df: DataFrame, group: str, place: str, cost: str, budget: int, most: int) -> DataFrame:
+    """``batch`` of each row: rows in order, a batch ends before it would pass the budget or the count ``most``.
 
-    rows = df.select(group, place, cost)
-    return rows.groupBy(group).applyInPandas(fold, StructType([*rows.schema.fields, StructField("batch", IntegerType())]))
+    The fold of a group is cut into chunks of ``PACK_CHUNK`` rows. When a chunk begins, fewer than ``most`` of its rows still
+    belong to the batch before; for each such number the chunk tells, on its own, how many batches it begins and how many
+    rows of the next chunk the last of them takes. These few numbers are then folded chunk by chunk, and the rows get
+    their batches in parallel. Null costs count as 0; a null group is one.
+    """
+    rows = placed_within(df.select(group, place, cost), [group], F.asc(place))
+    rows = rows.withColumn("__chunk", F.floor((F.col("place") - 1) / PACK_CHUNK)).withColumn("__i", (F.col("place") - 1) % PACK_CHUNK)
+    # the first rows of a chunk are also seen by the one before, which may reach into them
+    ahead = rows.where((F.col("__i") < most) & (F.col("__chunk") > 0))
+    seen = rows.unionByName(ahead.withColumn("__chunk", F.col("__chunk") - 1).withColumn("__i", F.col("__i") + PACK_CHUNK))
+
+    def fold(costs: list, first: int, n: int) -> tuple[list[int], int]:
+        """Where batches begin if the first one does at ``first``, and how many rows after the n-th the last one takes."""
+        starts, total, count = [], 0, most
+        for i in range(first, len(costs)):
+            if count >= most or total + costs[i] > budget:
+                if i >= n:
+                    return starts, i - n
+                starts.append(i)
+                total, count = 0, 0
+            total, count = total + costs[i], count + 1
+        return starts, max(0, len(costs) - n)
+
+    def chunk(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("__i", kind="stable")
+        costs, n = part[cost].fillna(0).tolist(), int((part["__i"] < PACK_CHUNK).sum())
+        out = []
+        for first in range(min(most, n + 1)):
+            starts, left = fold(costs, first, n)
+            out.append((key[0], key[1], first, len(starts), left))
+        return pd.DataFrame(out, columns=[group, "__chunk", "__first", "__starts", "__left"])
+
+    kind = df.schema[group].dataType.simpleString()
+    steps = seen.groupBy(group, "__chunk").applyInPandas(chunk, f"{group} {kind}, __chunk bigint, __first int, __starts bigint, __left int")
+
+    def chain(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        table = {(c, f): (s, r) for c, f, s, r in zip(part["__chunk"], part["__first"], part["__starts"], part["__left"])}
+        out, first, base = [], 0, 0
+        for c in sorted(set(part["__chunk"])):
+            out.append((key[0], c, first, base))
+            starts, first = table[(c, first)]
+            base += starts
+        return pd.DataFrame(out, columns=[group, "__chunk", "__first", "__base"])
+
+    entries = steps.groupBy(group).applyInPandas(chain, f"{group} {kind}, __chunk bigint, __first int, __base bigint")
+    rows = attach(rows, entries, [group, "__chunk"])
+
+    def number(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("__i", kind="stable")
+        starts, _ = fold(part[cost].fillna(0).tolist(), int(part["__first"].iloc[0]), len(part))
+        marks = pd.Series(0, index=range(len(part)))
+        marks.iloc[starts] = 1
+        batch = int(part["__base"].iloc[0]) - 1 + marks.cumsum().to_numpy()
+        return part.assign(batch=batch)[[group, place, cost, "batch"]]
+
+    schema = StructType([*df.select(group, place, cost).schema.fields, StructField("batch", IntegerType())])
+    return rows.groupBy(group, "__chunk").applyInPandas(number, schema)
 
 
 def joined_digest(df: DataFrame, group: str, order: list[str], text: str, flag: str, between: str) -> DataFrame:
@@ -146,5 +193,5 @@ def halves(first: int, last: int, size: Callable[[int, int], int], most: int) ->
 
 
 def round_robin(df: DataFrame, bucket: str, *order: Column) -> DataFrame:
-    """``turn``: the place of each row in its bucket; taken turn by turn, buckets alternate."""
-    return df.withColumn("turn", F.row_number().over(Window.partitionBy(bucket).orderBy(*order)))
+    """``turn``: the place of each row in its bucket; taken turn by turn, buckets alternate. Buckets may be few and large."""
+    return placed_within(df, [bucket], *order).withColumnRenamed("place", "turn")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from foliomill.functions import ratios as Q
 from foliomill.functions import text as T
 from foliomill.operators import ledger
+from foliomill.operators.ranges import attach, percentiles, placed
 from foliomill.plans.define import Book
 from foliomill.runtime import materialize, table
 
@@ -50,14 +51,17 @@ def q_suite_report(spark: SparkSession, d: str) -> DataFrame:
         F.bool_or(F.col("l_discount") >= 0.1).alias("loss"),
         F.bool_and(F.col("l_discount") <= 0.08).alias("ok"),
     )
+    docs = materialize(docs, "suite-docs")
     quality = docs.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.round(F.avg("m"), 6).alias("mean_of_means"),
-        F.round(Q.linear_percentile("m", 0.5), 6).alias("median_of_means"),
-        F.round(Q.linear_percentile("worst", 0.95), 6).alias("p95_of_worst"),
         F.count_if("loss").alias("n_loss"),
         F.round(F.count_if("ok") / F.count(F.lit(1)), 6).alias("pass_rate"),
     )
+    middle = percentiles(docs, ["l_returnflag"], "m", median_of_means=("linear", 0.5))
+    high = percentiles(docs, ["l_returnflag"], "worst", p95_of_worst=("linear", 0.95))
+    quality = quality.join(middle, "l_returnflag").join(high, "l_returnflag")
+    quality = quality.withColumns({c: F.round(c, 6) for c in ("median_of_means", "p95_of_worst")})
     speed = rows.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_records"), F.round(F.sum("l_quantity"), 2).alias("seconds"))
     return speed.join(quality, "l_returnflag", "left").fillna({"n_docs": 0, "n_loss": 0, "pass_rate": 1.0})
 
@@ -71,11 +75,9 @@ def q_suite_report(spark: SparkSession, d: str) -> DataFrame:
        FROM r GROUP BY 1""",
 )
 def q_percentile_families(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").groupBy("o_orderpriority").agg(
-        F.round(Q.linear_percentile("o_totalprice", 0.9), 4).alias("linear"),
-        Q.floor_percentile("o_totalprice", 0.9).alias("floored"),
-        Q.rounded_percentile("o_totalprice", 0.9).alias("rounded"),
-    )
+    asked = {"linear": ("linear", 0.9), "floored": ("floor", 0.9), "rounded": ("rounded", 0.9)}
+    rows = percentiles(table(spark, d, "orders"), ["o_orderpriority"], "o_totalprice", **asked)
+    return rows.withColumn("linear", F.round("linear", 4))
 
 
 @book.add(
@@ -213,12 +215,16 @@ def q_frozen_threshold(spark: SparkSession, d: str) -> DataFrame:
         FROM p LEFT JOIN m USING (candidate_id) LEFT JOIN x USING (candidate_id) LEFT JOIN y USING (candidate_id)""",
 )
 def q_token_overlap(spark: SparkSession, d: str) -> DataFrame:
-    """Bag overlap of a candidate with its reference: tokens are counted inside the row, nothing but the pair is shuffled."""
-    rows = _pairs(spark, d).select("candidate_id", T.tokens(F.col("expected")).alias("e"), T.tokens(F.col("candidate")).alias("c"))
-    both = F.array_distinct(F.array_intersect("e", "c"))
-    times = lambda a, w: F.size(a) - F.size(F.array_remove(a, w))
-    matched = F.aggregate(both, F.lit(0), lambda s, w: s + F.least(times(F.col("e"), w), times(F.col("c"), w)))
-    rows = rows.select("candidate_id", matched.cast("bigint").alias("matched"), F.size("e").cast("bigint").alias("expected"), F.size("c").cast("bigint").alias("predicted"))
+    """Bag overlap of a candidate with its reference: each token once with its count on either side. The counts stay where the
+    join has put the pair, so nothing is shuffled for them."""
+    side = lambda col, e, c: F.transform(T.tokens(F.col(col)), lambda w: F.struct(w.alias("w"), F.lit(e).alias("e"), F.lit(c).alias("c")))
+    # a mark of no word keeps the pairs that have none
+    mark = F.array(F.struct(F.lit(None).cast("string").alias("w"), F.lit(0).alias("e"), F.lit(0).alias("c")))
+    rows = _pairs(spark, d).select("text_id", "candidate_id", F.explode(F.concat(mark, side("expected", 1, 0), side("candidate", 0, 1))).alias("t"))
+    words = rows.groupBy("text_id", "candidate_id", "t.w").agg(F.sum("t.e").alias("e"), F.sum("t.c").alias("c"))
+    rows = words.groupBy("text_id", "candidate_id").agg(
+        F.sum(F.least("e", "c")).alias("matched"), F.sum("e").alias("expected"), F.sum("c").alias("predicted")
+    ).drop("text_id")
     m, p, e = F.col("matched"), F.col("predicted"), F.col("expected")
     return rows.select("*", F.round(Q.overlap_precision(m, p, e), 6).alias("precision"), F.round(Q.overlap_recall(m, e), 6).alias("recall"))
 
@@ -239,15 +245,17 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 def q_corpus_aggregate(spark: SparkSession, d: str) -> DataFrame:
     low = F.count_if(F.col("value") < 10)
     seconds = F.unix_seconds(F.max("ts").cast("timestamp")) - F.unix_seconds(F.min("ts").cast("timestamp")) + 1
-    return table(spark, d, "events").groupBy("event_type").agg(
+    events = table(spark, d, "events")
+    rows = events.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"),
         low.alias("n_low"),
         F.round(F.avg("value"), 6).alias("mean_value"),
-        *[F.round(Q.linear_percentile("value", f), 6).alias(name) for name, f in (("p50", 0.5), ("p95", 0.95), ("p10", 0.1))],
         F.max("value").alias("greatest"),
         F.round(low / F.count(F.lit(1)), 6).alias("low_share"),
         F.round(F.count(F.lit(1)) / seconds, 9).alias("per_second"),
     )
+    ranks = percentiles(events, ["event_type"], "value", p50=("linear", 0.5), p95=("linear", 0.95), p10=("linear", 0.1))
+    return attach(rows, ranks, ["event_type"], "left").withColumns({c: F.round(c, 6) for c in ("p50", "p95", "p10")})
 
 
 @book.add(
@@ -266,18 +274,7 @@ def q_census_summary(spark: SparkSession, d: str) -> DataFrame:
     )
     tier = F.when(F.col("ocr") == 0, "native").when(F.col("ocr") == F.col("pages"), "scanned").otherwise("mixed")
     docs = docs.select("*", F.round(F.col("ocr") / F.col("pages"), 6).alias("ocr_share"), tier.alias("tier"))
-    return _placed(docs, F.desc("ocr_share"), F.desc("pages"), F.asc("source_artifact_id"))
-
-
-def _placed(df: DataFrame, *order: Column) -> DataFrame:
-    """``place`` in the order of the whole table, without one task that sorts it all: rows are sorted in range partitions,
-    numbered in each, and the partitions' sizes are summed."""
-    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id())
-    # written once: a second run might draw other range bounds
-    rows = materialize(rows.select("*", F.shiftright("__m", 33).alias("__p"), (F.col("__m") % (1 << 33)).alias("__i")), "placed")
-    sizes = rows.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))  # a row for each partition
-    before = sizes.withColumn("__b", F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).select("__p", "__b")
-    return rows.join(F.broadcast(before), "__p").withColumn("place", F.col("__i") + F.col("__b") + 1).drop("__p", "__i", "__b", "__m")
+    return placed(docs, F.desc("ocr_share"), F.desc("pages"), F.asc("source_artifact_id"))
 
 
 @book.add(
@@ -309,7 +306,8 @@ def q_census_rollup(spark: SparkSession, d: str) -> DataFrame:
          count(*) - count(DISTINCT sha256) AS n_repeated FROM source_artifacts a GROUP BY 1""",
 )
 def q_inventory_summary(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "source_artifacts").groupBy("collection").agg(
+    files = table(spark, d, "source_artifacts")
+    rows = files.groupBy("collection").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("file_extension") == "pdf").alias("n_pdf"),
         F.count_if(F.col("page_count").isNull()).alias("n_unread"),
@@ -317,9 +315,10 @@ def q_inventory_summary(spark: SparkSession, d: str) -> DataFrame:
         F.min("page_count").alias("least"),
         F.max("page_count").alias("most"),
         F.round(F.avg("page_count"), 6).alias("mean_pages"),
-        Q.floor_percentile("page_count", 0.95).alias("p95_floor"),
         (F.count(F.lit(1)) - F.count_distinct("sha256")).alias("n_repeated"),
     )
+    ranks = percentiles(files, ["collection"], "page_count", p95_floor=("floor", 0.95))
+    return attach(rows, ranks, ["collection"], "left")
 
 
 @book.add(

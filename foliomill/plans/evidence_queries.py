@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliomill.functions import plugins as P
 from foliomill.operators import ledger as L
+from foliomill.operators.ranges import placed_within
 from foliomill.operators.sequence import halves
 from foliomill.plans.define import Book
 from foliomill.runtime import table
@@ -173,9 +174,8 @@ def q_id_ordinals(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_budget_prefix(spark: SparkSession, d: str) -> DataFrame:
     """How many documents of each source come before a budget of characters is spent."""
-    order = Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
     rows = table(spark, d, "documents").where("text is not null").select("source", "doc_id", F.length("text").alias("n"))
-    rows = rows.withColumn("total", F.sum("n").over(order)).where("total <= 20000")
+    rows = placed_within(rows, ["source"], F.asc("doc_id"), value=F.col("n")).where("before + n <= 20000")
     return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_fit"))
 
 

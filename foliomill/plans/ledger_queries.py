@@ -238,12 +238,12 @@ def q_cycle_check(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_provision_tree(spark: SparkSession, d: str) -> DataFrame:
     """Paths of a tree of parts by parent number, in recursive SQL."""
-    table(spark, d, "part").select("p_partkey").createOrReplaceTempView("tree_nodes")
     return spark.sql(
         """WITH RECURSIVE t(node, path) AS (
              SELECT 1L, '1' UNION ALL
-             SELECT p_partkey, concat(path, '.', p_partkey) FROM tree_nodes JOIN t ON p_partkey div 8 = node WHERE p_partkey > 1)
-           SELECT node, path FROM t"""
+             SELECT p_partkey, concat(path, '.', p_partkey) FROM {nodes} JOIN t ON p_partkey div 8 = node WHERE p_partkey > 1)
+           SELECT node, path FROM t""",
+        nodes=table(spark, d, "part").select("p_partkey"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliomill.functions import text as T
 from foliomill.operators import relational as R
+from foliomill.operators.ranges import attach, percentiles
 from foliomill.plans.define import Book
 from foliomill.runtime import table
 
@@ -26,14 +27,15 @@ book = Book()
     FROM f GROUP BY lang, source""",
 )
 def q_document_quality_report(spark: SparkSession, d: str) -> DataFrame:
-    flags = table(spark, d, "documents").select("lang", "source", "n_chars", T.quality_flags(F.col("text")).alias("flags"))
-    return flags.groupBy("lang", "source").agg(
+    docs, key = table(spark, d, "documents"), ["lang", "source"]
+    rows = docs.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_docs"),
-        F.count_if(F.array_contains("flags", "empty")).alias("n_empty"),
-        F.count_if(F.array_contains("flags", "replacement")).alias("n_replacement"),
+        F.count_if(T.is_blank(F.col("text"))).alias("n_empty"),
+        F.count_if(T.has_replacements(F.col("text"))).alias("n_replacement"),
         F.round(F.avg("n_chars"), 6).alias("mean_chars"),
-        F.round(F.percentile("n_chars", F.lit(0.95)), 6).alias("p95_chars"),
     )
+    ranks = percentiles(docs, key, "n_chars", p95_chars=("linear", 0.95))
+    return attach(rows, ranks, key, "left").withColumn("p95_chars", F.round("p95_chars", 6))
 
 
 @book.add(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from foliomill.functions import hashing as H
 from foliomill.functions import text as T
 from foliomill.operators import sequence as S
+from foliomill.operators.ranges import placed, placed_within
 from foliomill.plans.define import Book
 from foliomill.runtime import table
 
@@ -88,10 +89,14 @@ def q_longest_repeat(spark: SparkSession, d: str) -> DataFrame:
         FROM n WHERE next_text_id IS NOT NULL""",
 )
 def q_adjacent_jaccard(spark: SparkSession, d: str) -> DataFrame:
-    rows = _pages(spark, d).where("text is not null").select("source_artifact_id", "page_index", "text_id", T.token_set(F.col("text")).alias("w"))
-    order = Window.partitionBy("source_artifact_id").orderBy("page_index", "text_id")
-    rows = rows.select("text_id", F.lead("text_id").over(order).alias("next_text_id"), "w", F.lead("w").over(order).alias("v"))
-    return rows.where("next_text_id is not null").select("text_id", "next_text_id", F.round(T.jaccard(F.col("w"), F.col("v")), 6).alias("similarity"))
+    """Neighbours are found on ids alone, by place over the whole order; the words of both go to the pair by text."""
+    pages = _pages(spark, d).where("text is not null")
+    rows = placed(pages.select("source_artifact_id", "page_index", "text_id"), F.asc("source_artifact_id"), F.asc("page_index"), F.asc("text_id"))
+    after = rows.select((F.col("place") - 1).alias("place"), F.col("source_artifact_id").alias("a"), F.col("text_id").alias("next_text_id"))
+    pairs = rows.join(after, "place").where(F.col("source_artifact_id").eqNullSafe(F.col("a"))).select("text_id", "next_text_id")
+    words = pages.select("text_id", T.token_set(F.col("text")).alias("w"))
+    both = pairs.join(words, "text_id").join(words.toDF("next_text_id", "v"), "next_text_id")
+    return both.select("text_id", "next_text_id", F.round(T.jaccard(F.col("w"), F.col("v")), 6).alias("similarity"))
 
 
 @book.add(
@@ -126,9 +131,8 @@ def q_token_batches(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_budget_selection(spark: SparkSession, d: str) -> DataFrame:
     """The largest artifacts of each source until 200 pages are reached."""
-    order = Window.partitionBy("source").orderBy(F.desc("page_count"), "source_artifact_id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = table(spark, d, "source_artifacts").where("page_count is not null")
-    rows = rows.withColumn("before", F.coalesce(F.sum("page_count").over(order), F.lit(0)))
+    rows = table(spark, d, "source_artifacts").where("page_count is not null").select("source", "source_artifact_id", "page_count")
+    rows = placed_within(rows, ["source"], F.desc("page_count"), F.asc("source_artifact_id"), value=F.col("page_count"))
     return rows.where("before < 200").select("source", "source_artifact_id", "page_count")
 
 
@@ -148,11 +152,13 @@ def q_round_robin(spark: SparkSession, d: str) -> DataFrame:
        n AS (SELECT source_identifier, k, count(*) AS n FROM g WHERE bad GROUP BY ALL) SELECT source_identifier, max(n) >= 5 AS open FROM n GROUP BY 1""",
 )
 def q_circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
-    """Whether five failures in a row have opened the breaker of a key."""
-    order = Window.partitionBy("source_identifier").orderBy("snapshot_no", "recorded_at", "document_url", F.asc_nulls_last("sha256"))
+    """Whether five failures in a row have opened the breaker of a key. A key may hold any part of the rows: the successes
+    before each row are summed over ranges, and failures with the same sum are one streak."""
     bad = F.col("status") == "failed"
-    rows = table(spark, d, "checkpoint_snapshots").withColumn("k", F.count_if(~bad).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    streaks = rows.where(bad).groupBy("source_identifier", "k").agg(F.count(F.lit(1)).alias("n"))
+    rows = table(spark, d, "checkpoint_snapshots").select("source_identifier", "snapshot_no", "recorded_at", "document_url", "sha256", "status")
+    order = [F.asc(c) for c in ("snapshot_no", "recorded_at", "document_url")]
+    rows = placed_within(rows, ["source_identifier"], *order, F.asc_nulls_last("sha256"), value=(~F.coalesce(bad, F.lit(False))).cast("int"))
+    streaks = rows.where(bad).groupBy("source_identifier", "before").agg(F.count(F.lit(1)).alias("n"))
     return streaks.groupBy("source_identifier").agg((F.max("n") >= 5).alias("open"))
 
 
@@ -177,12 +183,11 @@ def q_interval_overlap(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_even_sample(spark: SparkSession, d: str) -> DataFrame:
     """Ten documents of each source, evenly spread by id."""
-    rows = table(spark, d, "documents").select("source", "doc_id")
-    rows = rows.withColumn("i", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1)
+    rows = placed_within(table(spark, d, "documents").select("source", "doc_id"), ["source"], F.asc("doc_id"))
     sizes = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     places = F.explode(F.array(*[F.bround(F.lit(k) * (F.col("n") - 1) / F.lit(9.0)).cast("bigint") for k in range(10)]))
     wanted = sizes.select(F.col("source").alias("s"), places.alias("p")).distinct()
-    return rows.join(wanted, F.col("source").eqNullSafe(F.col("s")) & (F.col("i") == F.col("p"))).select("source", "doc_id")
+    return rows.join(wanted, F.col("source").eqNullSafe(F.col("s")) & (F.col("place") - 1 == F.col("p"))).select("source", "doc_id")
 
 
 @book.add(
