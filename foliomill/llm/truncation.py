@@ -55,11 +55,17 @@ def _ending(text: Column) -> Column:
     # where closing lines fill most of the tail, tail after tail is set aside: a turn takes half a tail at least, or nothing is left to take
     turns = F.sequence(F.lit(0), (F.length(whole) / (TAIL // 2)).cast("int"))
     far = F.aggregate(turns, whole, lambda c, _: F.concat(F.substring(c, F.lit(1), F.length(c) - TAIL), less(c)))
-    bare = F.when((F.length(whole) > TAIL) & (F.length(less(whole)) < ENDING), far).otherwise(less(whole))
-    bare = F.coalesce(F.nullif(bare, F.lit("")), last(whole))
-    bare = F.regexp_replace(bare, _MARKER, "")
-    short = F.substring(bare, -ENDING, ENDING)
-    return F.when(short.rlike(r"(?:\S+\s+){4}\S"), short).otherwise(bare)  # words of hundreds of letters are taken whole
+    closed = lambda l: F.when((F.length(whole) > TAIL) & (F.length(l) < ENDING), far).otherwise(l)
+    bare = _once(_once(less(whole), closed), lambda b: F.when(b == "", last(whole)).otherwise(b))
+    short = lambda b: F.substring(b, -ENDING, ENDING)
+    # words of hundreds of letters are taken whole
+    cut = _once(bare, lambda b: F.when((F.length(b) <= ENDING) | short(b).rlike(r"(?:\S+\s+){4}\S"), short(b)).otherwise(b))
+    return F.regexp_replace(cut, _MARKER, "")
+
+
+def _once(col: Column, use) -> Column:
+    """``use(col)`` with ``col`` worked out once, however often it is used."""
+    return F.transform(F.array(col), use)[0]
 
 
 def _records(df: DataFrame, name: str, id_col: str, text_col: str) -> DataFrame:
