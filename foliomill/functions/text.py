@@ -57,6 +57,11 @@ def plain(col: Column) -> Column:
     return F.translate(col, ACCENTED, PLAIN)
 
 
+def plain_letters(col: Column) -> Column:
+    """Without accents, and with other letters beyond ASCII as x: what patterns of plain letters can be matched on."""
+    return F.regexp_replace(plain(col), "[ªºÀ-ÖØ-öø-ɏͰ-ϿЀ-ӿ]", "x")
+
+
 def visible_length(col: Column) -> Column:
     return F.length(F.regexp_replace(col, r"(?U)\s", ""))
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliomill.functions import fidelity as Y
 from foliomill.functions import hashing as H
 from foliomill.functions import text as T
 from foliomill.operators import retrieval as V
@@ -39,18 +38,6 @@ def q_change_taxonomy(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("change").agg(F.count(F.lit(1)).alias("n"))
 
 
-@book.add("STR-09")
-def q_fidelity_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Word errors, order and similarity of each candidate; the recurrences have no SQL form."""
-    rows = _pairs(spark, d).select("candidate_id", "e", "c").repartition("candidate_id")
-    return rows.select(
-        "candidate_id",
-        F.round(Y.word_error_rate("e", "c"), 6).alias("wer"),
-        F.round(Y.order_kept("e", "c"), 6).alias("order_kept"),
-        F.round(Y.sequence_ratio("e", "c"), 6).alias("similarity"),
-    )
-
-
 @book.add(
     "",
     r"""SELECT text_id, list_sort(list_distinct(list_transform(regexp_extract_all(text, 'Ley núm\. \d+-\d+'), lambda x: lower(x)))) AS laws,
