@@ -62,8 +62,28 @@ def parts_text(content: str | list | dict | None) -> str:
     return "".join(parts_text(c) for c in content)
 
 
+def _grid_texts(node: dict) -> list[str]:
+    """Texts of a table's cells by row and column: a grid of rows under ``data``, a list of cells with offsets, or plain cells."""
+    data = node.get("data") if isinstance(node.get("data"), dict) else {}
+    if isinstance(data.get("grid"), list):
+        cells, done = [], set()
+        for row in data["grid"]:
+            for cell in row if isinstance(row, list) else []:
+                # a cell that spans fields stands in each of them
+                place = tuple(cell.get(k) for k in ("start_row_offset_idx", "start_col_offset_idx")) if isinstance(cell, dict) else (None, None)
+                if None in place or place not in done:
+                    done.add(place)
+                    cells.append(cell)
+    else:
+        held = data.get("table_cells") or node.get("cells") or []
+        at = lambda c: (c.get("start_row_offset_idx", c.get("row", 0)), c.get("start_col_offset_idx", c.get("col", 0)))
+        cells = sorted((c for c in held if isinstance(c, dict)), key=at)
+    return [c["text"] for c in cells if isinstance(c, dict) and isinstance(c.get("text"), str)]
+
+
 def tree_text(payload: str | None) -> str | None:
-    """Text of a document tree of {body, items}: children by reference in reading order, each once, table cells by row and column."""
+    """Text of a document tree: the children of ``body`` in reading order, references (``$ref`` or ``ref``, JSON pointers) each
+    followed once, table cells by row and column. Without a body, the texts and then the tables as they are stored."""
     if payload is None:
         return None
     tree = json.loads(payload)
@@ -73,24 +93,28 @@ def tree_text(payload: str | None) -> str | None:
     def at(pointer: str):
         node = tree
         for step in pointer.removeprefix("#/").split("/"):
+            step = step.replace("~1", "/").replace("~0", "~")
             node = node[int(step)] if isinstance(node, list) else node[step]
         return node
 
-    def walk(node: dict) -> None:
-        if node.get("text"):
-            out.append(node["text"])
-        for cell in sorted(node.get("cells", []), key=lambda c: (c.get("row", 0), c.get("col", 0))):
-            out.append(cell.get("text", ""))
-        for child in node.get("children", []):
-            ref = child.get("ref")
-            if ref is None:
-                walk(child)
-            elif ref not in seen:
-                seen.add(ref)
-                walk(at(ref))
-
-    walk(tree.get("body", {}))
-    return "\n".join(x for x in out if x)
+    waiting = [tree["body"]] if isinstance(tree, dict) and isinstance(tree.get("body"), dict) else []
+    while waiting:  # depth first, whatever the depth
+        node = waiting.pop()
+        if not isinstance(node, dict):
+            continue
+        pointer = node.get("$ref", node.get("ref"))
+        if isinstance(pointer, str):
+            if pointer not in seen:
+                seen.add(pointer)
+                waiting.append(at(pointer))
+            continue
+        out += [node["text"]] if isinstance(node.get("text"), str) else []
+        out += _grid_texts(node)
+        waiting += reversed(node.get("children") or [])
+    if not out and isinstance(tree, dict):
+        out += [n["text"] for n in tree.get("texts") or [] if isinstance(n, dict) and isinstance(n.get("text"), str)]
+        out += [t for n in tree.get("tables") or [] if isinstance(n, dict) for t in _grid_texts(n)]
+    return "\n".join(x for x in out if x.strip())
 
 
 @F.pandas_udf(StringType())

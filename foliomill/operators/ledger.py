@@ -32,9 +32,27 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], keep: str = "new") -
     return rows.select(*keys, *[F.coalesce(F.col(f"{first}.{c}"), F.col(f"{second}.{c}")).alias(c) for c in rest])
 
 
+def least_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each key, the same one in every run."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    rows = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__r"))
+    return rows.select(*[F.col(c) if c in keys else F.col(f"__r.{c}").alias(c) for c in df.columns])
+
+
 def insert_missing(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of ``new`` whose key is not there yet, one of each key."""
-    return new.dropDuplicates(keys).join(old.select(*keys), keys, "left_anti")
+    """The rows of ``new`` whose key is not there yet, one of each key: the least by its other columns, nulls first."""
+    return least_rows(new, keys).join(old.select(*keys), keys, "left_anti")
+
+
+def compare_and_set(stored: DataFrame, asked: DataFrame, keys: list[str], revision: str, expected: str) -> DataFrame:
+    """(keys, outcome, revision) of each request: applied where the stored revision is the one expected, which then goes up by
+    one; else a conflict with the revision that is there, or unknown where no row has the key."""
+    rows = asked.join(stored, keys, "left")
+    fits = F.col(revision) == F.col(expected)
+    outcome = F.when(F.col(revision).isNull(), "unknown").when(fits, "applied").otherwise("conflict")
+    return rows.select(*keys, outcome.alias("outcome"), F.when(fits, F.col(revision) + 1).otherwise(F.col(revision)).alias(revision))
 
 
 def status_counts(df: DataFrame, group: list[str], status: str, values: list[str]) -> DataFrame:

@@ -117,19 +117,6 @@ def q_observe_history(spark: SparkSession, d: str) -> DataFrame:
     return L.history(table(spark, d, "checkpoint_snapshots"), _KEYS, "status", "recorded_at")
 
 
-@book.add(
-    "UPS-10 UPS-11 UPS-12 UPS-27",
-    """SELECT CASE WHEN o_orderstatus = 'O' AND o_custkey % 3 = 0 THEN 'running' WHEN o_orderstatus = 'P' THEN 'pending' ELSE o_orderstatus END AS state,
-              o_orderstatus = 'O' AND o_custkey % 3 <> 0 AS conflict, count(*) AS n FROM orders GROUP BY ALL""",
-)
-def q_transition(spark: SparkSession, d: str) -> DataFrame:
-    """Open orders are claimed where the revision fits; those whose revision has moved on are conflicts."""
-    fits = (F.col("o_orderstatus") == "O") & (F.col("o_custkey") % 3 == 0)
-    conflict = (F.col("o_orderstatus") == "O") & (F.col("o_custkey") % 3 != 0)
-    state = F.when(fits, "running").when(F.col("o_orderstatus") == "P", "pending").otherwise(F.col("o_orderstatus"))
-    return table(spark, d, "orders").groupBy(state.alias("state"), conflict.alias("conflict")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @book.add(
     "UPS-14 UPS-15",
     f"""WITH o AS ({_SNAPSHOT.format(n=7)}), n AS ({_SNAPSHOT.format(n=8)})

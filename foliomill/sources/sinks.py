@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliomill.functions.hashing import digest
+from foliomill.operators.ledger import least_rows
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -14,9 +15,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_new(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Append the rows whose key the table lacks, one of each key; returns them."""
+    """Append the rows whose key the table lacks, one of each key (the least by its other columns); returns them."""
     spark = df.sparkSession
-    rows = df.dropDuplicates(keys)
+    rows = least_rows(df, keys)
     if _exists(spark, path):
         rows = rows.join(spark.read.schema(df.schema).parquet(path).select(*keys), keys, "left_anti")
     rows.write.mode("append").parquet(path)
@@ -24,13 +25,15 @@ def append_new(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
 
 
 def put_immutable(df: DataFrame, path: str, key: str, sha: str) -> DataFrame:
-    """Append by key; a key that is there with another hash is an error, and nothing is written. Returns the conflicts."""
+    """Append by key; a key with another hash, in the table or among the rows themselves, is an error, and nothing is
+    written. Returns the conflicts (key, sha, held)."""
     spark = df.sparkSession
+    seen = df.groupBy(key).agg(F.min(sha).alias(sha), F.max(sha).alias("__most"))
+    conflicts = seen.where(F.col(sha) != F.col("__most")).select(key, sha, F.col("__most").alias("held"))
     if _exists(spark, path):
         held = spark.read.schema(df.schema).parquet(path).select(key, F.col(sha).alias("held"))
-        conflicts = df.join(held, key).where(~F.col(sha).eqNullSafe(F.col("held"))).select(key, sha, "held")
-    else:
-        conflicts = df.groupBy(key).agg(F.min(sha).alias(sha), F.max(sha).alias("held")).where(f"{sha} <> held")
+        conflicts = conflicts.unionByName(df.join(held, key).where(~F.col(sha).eqNullSafe(F.col("held"))).select(key, sha, "held"))
+    conflicts = conflicts.distinct()
     if conflicts.isEmpty():
         append_new(df, path, [key])
     return conflicts

@@ -33,29 +33,36 @@ def once_each(records: DataFrame, late: str = "1 day") -> DataFrame:
     return records.withWatermark("recorded", late).dropDuplicatesWithinWatermark([*KEYS, "status", "sha256"])
 
 
-def breaker(records: DataFrame, limit: int = 5) -> DataFrame:
+def breaker(records: DataFrame, limit: int = 5, idle_days: int = 30, late: str = "1 day") -> DataFrame:
     """(source_identifier, failures, open) whenever a key's run of failures grows or ends.
 
-    State of a key: how many failures in a row, over all batches. Order within a batch is by time recorded.
+    State of a key: how many failures in a row, over all batches. Order within a batch is by time recorded. A key of which
+    nothing has come for ``idle_days`` of event time is forgotten, so the state holds the keys of that time and no others.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         run = state.get[0] if state.exists else 0
         rows = pd.concat(list(batches)).sort_values("recorded", kind="stable")
         for status in rows["status"]:
             run = run + 1 if status == "failed" else 0
         state.update((run,))
+        last = int(rows["recorded"].max().timestamp() * 1000)
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + idle_days * 86_400_000)
         yield pd.DataFrame({"source_identifier": [key[0]], "failures": [run], "open": [run >= limit]})
 
-    return records.groupBy("source_identifier").applyInPandasWithState(
-        step, "source_identifier string, failures int, open boolean", "failures int", "update", GroupStateTimeout.NoTimeout
+    return records.withWatermark("recorded", late).groupBy("source_identifier").applyInPandasWithState(
+        step, "source_identifier string, failures int, open boolean", "failures int", "update", GroupStateTimeout.EventTimeTimeout
     )
 
 
 def keep_latest(records: DataFrame, path: str, checkpoint: str):
     """Start a query that keeps the newest record of each key in ``path/batch=<id>``.
 
-    A batch that is done again after a failure writes the same folder again, so the result is exact.
+    A batch that is done again after a failure writes the same folder again, so the result is exact. Folders that no batch
+    can need any more are removed.
     """
     spark = records.sparkSession
 
@@ -65,5 +72,8 @@ def keep_latest(records: DataFrame, path: str, checkpoint: str):
             rows = rows.unionByName(spark.read.schema(batch.schema).parquet(f"{path}/batch={number - 1}"))
         kept = latest(rows, KEYS, F.desc("recorded"), F.desc_nulls_last("sha256"), F.desc("status"))
         kept.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if number > 1:
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={number - 2}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return records.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
