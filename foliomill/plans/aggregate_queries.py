@@ -202,7 +202,7 @@ def q_frozen_threshold(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "AGG-13 AGG-14 AGG-15 MAT-01 STR-10 STR-02",
+    "AGG-14 MAT-01 STR-10 STR-02",
     r"""WITH p AS (SELECT c.candidate_id, s.text AS e, c.candidate_text AS t FROM candidate_texts c JOIN source_texts s USING (text_id)
                   WHERE s.text IS NOT NULL AND c.candidate_text IS NOT NULL),
         a AS (SELECT candidate_id, w, count(*) AS n FROM (SELECT candidate_id, unnest(regexp_extract_all(lower(e), '[\p{L}\p{N}_]+(?:[./-][\p{L}\p{N}_]+)*')) AS w FROM p) GROUP BY ALL),
@@ -368,7 +368,7 @@ def q_paired_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "AGG-38 FLT-15 FLT-16 FLT-34",
+    "AGG-38 FLT-15",
     """WITH p AS (SELECT unnest(['all', 'no_length', 'no_lang']) AS profile), s AS (
          SELECT profile, doc_id, greatest(0, least(1, CASE WHEN profile <> 'no_length' AND n_chars > 1500 THEN 0.5 ELSE 0 END
            + CASE WHEN profile <> 'no_lang' AND lang = 'es' THEN 0.4 ELSE 0 END + CASE WHEN source IS NULL THEN -0.3 ELSE 0.1 END)) AS score
@@ -414,7 +414,7 @@ def q_modes(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "AGG-46 AGG-49 AGG-36 AGG-37",
+    "AGG-46 AGG-49",
     """SELECT collection, list_sort(list(DISTINCT file_extension)) AS extensions, list_sort(list(DISTINCT source)) AS sources,
        count(DISTINCT page_count) AS n_page_counts FROM source_artifacts GROUP BY 1""",
 )

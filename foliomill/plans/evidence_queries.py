@@ -38,7 +38,7 @@ def q_evidence_spans(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "FLT-24 FLT-26 SRC-36 SRC-44 SRC-45",
+    "FLT-24 SRC-44",
     """WITH p AS (SELECT object_key, line_no, CASE WHEN json_valid(line_text) THEN line_text::JSON END AS j FROM object_lines)
        SELECT object_key, line_no, CASE WHEN j IS NULL THEN 'not_json' WHEN j->>'source_identifier' IS NULL OR j->>'document_url' IS NULL OR j->>'recorded_at' IS NULL THEN 'required'
          WHEN (j->>'status') NOT IN ('stored', 'unavailable', 'failed') THEN 'enum' WHEN (j->>'status') = 'stored' AND j->>'byte_count' IS NULL THEN 'dependent' ELSE 'valid' END AS verdict FROM p""",
@@ -59,7 +59,7 @@ def q_schema_validation(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "FLT-30 FLT-31 FLT-32",
+    "FLT-30 FLT-32",
     """WITH p AS (SELECT text_id, count(*) AS n, min(candidate_id) AS first_id, max(candidate_id) AS last_id FROM candidate_texts WHERE text_id IS NOT NULL GROUP BY 1)
        SELECT p.text_id, CASE WHEN n = 1 THEN 'single_pass' WHEN a.candidate_text IS NOT DISTINCT FROM b.candidate_text THEN 'same' ELSE 'changed' END AS state
        FROM p JOIN candidate_texts a ON a.candidate_id = first_id JOIN candidate_texts b ON b.candidate_id = last_id""",
@@ -99,7 +99,7 @@ def q_storage_check(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "AGG-27 AGG-28 AGG-45 AGG-26 AGG-53",
+    "AGG-27 AGG-45 AGG-26",
     """WITH w AS (SELECT unnest(range(0, 6))::INT AS shard), s AS (SELECT DISTINCT object_key, regexp_extract(object_key, 'shard-(\\d+)', 1)::INT AS shard FROM object_lines)
        SELECT w.shard, count(object_key) AS n_files, count(object_key) = 0 AS missing FROM w LEFT JOIN s USING (shard) GROUP BY 1""".replace("\\\\", "\\"),
 )
@@ -135,7 +135,7 @@ def q_range_halving(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "UPS-18 UPS-19 UPS-21",
+    "UPS-19",
     """WITH s AS (SELECT source, min(first_seen_at) AS first_seen FROM source_artifacts GROUP BY 1)
        SELECT coalesce(m.source, s.source) AS source, m.target_share, s.first_seen, m.source IS NULL AS unknown FROM mix_targets m FULL JOIN s ON m.source = s.source""",
 )
@@ -180,7 +180,7 @@ def q_budget_prefix(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "UDF-04 UDF-09 UDF-10 UDF-11",
+    "UDF-10",
     """SELECT text_id, text_id || '__' || q AS name, CASE q WHEN 'readable' THEN 'boolean' ELSE 'probability' END AS kind FROM source_texts, (SELECT unnest(['readable', 'complete']) AS q)""",
 )
 def q_questions(spark: SparkSession, d: str) -> DataFrame:
@@ -188,7 +188,7 @@ def q_questions(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "source_texts").select("text_id", asked.alias("q")).select("text_id", "q.*")
 
 
-@book.add("UDF-01 UDF-02 UDF-03 UDF-07")
+@book.add("UDF-01 UDF-02 UDF-03")
 def q_provider_answers(spark: SparkSession, d: str) -> DataFrame:
     """Answers of a pluggable provider, here the constant one of the tests."""
     make = P.constant_provider({"probability": 0.5}, "text_id")
@@ -196,7 +196,7 @@ def q_provider_answers(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "SRC-09 SRC-13 SRC-30 SRC-35 SRC-56",
+    "",
     """SELECT regexp_extract(document_url, '/((?:19|20)\\d\\d)/', 1) AS year, CASE WHEN starts_with(trim(source_identifier), 'TC/') THEN 'constitutional' WHEN starts_with(trim(source_identifier), 'BJ') THEN 'bulletins' ELSE 'decisions' END AS surface,
               count(DISTINCT trim(source_identifier)) AS n FROM checkpoint_snapshots WHERE regexp_matches(document_url, '/(19|20)\\d\\d/') GROUP BY ALL""".replace("\\\\", "\\"),
 )

@@ -75,7 +75,7 @@ def q_reconcile_plan(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "UPS-02 UPS-06 UPS-22 UPS-29",
+    "UPS-02 UPS-22 UPS-29",
     f"""WITH o AS ({_SNAPSHOT.format(n=1)}), n AS ({_SNAPSHOT.format(n=2)})
         SELECT coalesce(o.source_identifier, n.source_identifier) AS source_identifier, coalesce(o.document_url, n.document_url) AS document_url,
                coalesce(o.status, n.status) AS status, coalesce(o.sha256, n.sha256) AS sha256, coalesce(o.file_extension, n.file_extension) AS file_extension,
@@ -147,23 +147,22 @@ def q_plan_disposition(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "UPS-24 UPS-08",
+    "UPS-24",
     """WITH c AS (SELECT text_id, count(*) AS n, min(candidate_text) FILTER (adapter = 'visual_model') AS t FROM candidate_texts WHERE text_id IS NOT NULL GROUP BY 1)
        SELECT s.text_id, CASE WHEN s.text IS NULL THEN 'no_observation' WHEN n IS NULL THEN 'as_observed' WHEN n > 1 THEN 'ambiguous' ELSE 'corrected' END AS state,
               md5(CASE WHEN n = 1 THEN coalesce(t, s.text) ELSE s.text END) AS h FROM source_texts s LEFT JOIN c USING (text_id)""",
 )
 def q_text_resolution(spark: SparkSession, d: str) -> DataFrame:
-    cand = table(spark, d, "candidate_texts").where("text_id is not null").groupBy("text_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("adapter") == "visual_model", F.col("candidate_text"))).alias("t")
-    )
-    rows = table(spark, d, "source_texts").select("text_id", "text").join(cand, "text_id", "left")
-    state = F.when(F.col("text").isNull(), "no_observation").when(F.col("n").isNull(), "as_observed").when(F.col("n") > 1, "ambiguous").otherwise("corrected")
-    resolved = F.when(F.col("n") == 1, F.coalesce("t", "text")).otherwise(F.col("text"))
-    return rows.select("text_id", state.alias("state"), F.md5(resolved).alias("h"))
+    """The digest of each text as it is resolved; digests, not texts, go to the join."""
+    visual = F.when(F.col("adapter") == "visual_model", F.md5("candidate_text"))
+    cand = table(spark, d, "candidate_texts").where("text_id is not null").groupBy("text_id").agg(F.count(F.lit(1)).alias("n"), F.min(visual).alias("t"))
+    rows = table(spark, d, "source_texts").select("text_id", F.md5("text").alias("own")).join(cand, "text_id", "left")
+    state = F.when(F.col("own").isNull(), "no_observation").when(F.col("n").isNull(), "as_observed").when(F.col("n") > 1, "ambiguous").otherwise("corrected")
+    return rows.select("text_id", state.alias("state"), F.when(F.col("n") == 1, F.coalesce("t", "own")).otherwise(F.col("own")).alias("h"))
 
 
 @book.add(
-    "UPS-25 TMP-07 UPS-09",
+    "UPS-25 TMP-07",
     """WITH c AS (SELECT decision_number, count(DISTINCT decision_date) AS n, min(decision_date) AS v, bool_or(lang = 'es') AS ok, count(DISTINCT source) AS k
                   FROM documents WHERE decision_date IS NOT NULL GROUP BY 1)
        SELECT decision_number, CASE WHEN n > 1 THEN 'conflict' WHEN ok THEN 'verified' WHEN k >= 2 THEN 'corroborated' ELSE 'unverified' END AS state,
@@ -276,7 +275,7 @@ def q_bitemporal_asof(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "TMP-03 TMP-04 RET-09",
+    "TMP-04 RET-09",
     """SELECT source, count(*) FILTER (decision_date < DATE '2000-01-01') AS n_before, count(*) FILTER (decision_date BETWEEN DATE '2000-01-01' AND DATE '2009-12-31') AS n_between,
               count(*) FILTER (decision_date > DATE '2009-12-31') AS n_after, max(decision_date) FILTER (decision_date <= DATE '2005-06-30') AS latest_as_of FROM documents GROUP BY 1""",
 )

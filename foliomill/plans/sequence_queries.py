@@ -44,7 +44,7 @@ def q_gap_bridge(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "WIN-04 WIN-07 ARR-02",
+    "WIN-04 WIN-07",
     """WITH s AS (SELECT DISTINCT t.source_artifact_id, page_index AS first, page_count FROM source_texts t JOIN source_artifacts a
                   ON a.source_artifact_id = t.source_artifact_id WHERE page_index IS NOT NULL AND contains(text, 'SENTENCIA NÚM'))
        SELECT source_artifact_id, first, coalesce(lead(first) OVER (PARTITION BY source_artifact_id ORDER BY first) - 1, page_count - 1) AS last FROM s""",
@@ -57,7 +57,7 @@ def q_segments_lead(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "WIN-05 WIN-06",
+    "WIN-05",
     """WITH p AS (SELECT source_artifact_id, page_index, min(authority) AS authority FROM source_texts WHERE page_index IS NOT NULL GROUP BY ALL),
        f AS (SELECT *, CASE WHEN lag(authority) OVER w IS DISTINCT FROM authority OR page_index - lag(page_index) OVER w <> 1 THEN 1 ELSE 0 END AS fresh
              FROM p WINDOW w AS (PARTITION BY source_artifact_id ORDER BY page_index)),
@@ -115,7 +115,7 @@ def q_duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("source_artifact_id", "k").agg(F.min("text_id").alias("first_text"), F.count(F.lit(1)).alias("n")).drop("k")
 
 
-@book.add("WIN-12 WIN-13 MAT-02")
+@book.add("WIN-12 MAT-02")
 def q_token_batches(spark: SparkSession, d: str) -> DataFrame:
     """Rows of an artifact in batches of at most 2,000 estimated tokens and 8 texts, in order."""
     rows = table(spark, d, "source_texts").select(
@@ -163,7 +163,7 @@ def q_circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "WIN-19 FLT-27 WIN-20",
+    "WIN-20",
     """SELECT o_custkey, count(*) FILTER (bad) AS n_bad, count(*) AS n FROM (SELECT o_custkey, o_orderdate < max(o_orderdate + INTERVAL 30 DAY) OVER
        (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS bad FROM orders) GROUP BY 1""",
 )
@@ -200,7 +200,7 @@ def q_hash_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "SRT-12 SRT-13 SRT-14 SRC-55 AGG-51",
+    "SRT-12 SRT-14 SRC-55 AGG-51",
     """SELECT (('0x' || substr(sha256, 1, 16))::UBIGINT % 16)::INT AS shard, ('0x' || substr(sha256, 1, 2))::INT % 8 AS dealt, count(*) AS n FROM source_artifacts GROUP BY ALL""",
 )
 def q_hash_shard(spark: SparkSession, d: str) -> DataFrame:

@@ -96,7 +96,7 @@ def q_layout_grammar(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "STR-17 DAT-01 SRT-18",
+    "STR-17 DAT-01",
     r"""WITH m AS (SELECT text_id, unnest(regexp_extract_all(text, '\d{1,2} de (?:enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|octubre|noviembre|diciembre) de \d{4}')) AS f FROM source_texts)
         SELECT text_id, f AS found, try_strptime(regexp_extract(f, '(\d{4})$', 1) || '-' || (list_position(['enero','febrero','marzo','abril','mayo','junio','julio','agosto','septiembre','octubre','noviembre','diciembre'], split_part(f, ' ', 3))) || '-' || split_part(f, ' ', 1), '%Y-%m-%d')::DATE AS day, count(*) AS n FROM m GROUP BY ALL""",
 )
@@ -158,7 +158,7 @@ def q_token_estimates(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "HSH-01 HSH-03 HSH-04 SRC-18 SRC-17 DAT-03 DAT-04",
+    "HSH-01 HSH-03 HSH-04 SRC-18 SRC-17 DAT-04",
     """SELECT source_artifact_id, sha256('{"byte_count":' || coalesce(byte_count::VARCHAR, 'null') || ',"collection":"' || collection || '","sha256":"' || sha256 || '"}') AS payload_sha256,
               'store/' || source || '/' || collection || '/' || substr(sha256, 1, 2) || '/' || sha256 || '.' || file_extension AS object_key, strftime(first_seen_at, '%Y/%m/%d') AS day FROM source_artifacts""",
 )
@@ -191,7 +191,7 @@ def q_journal_state(spark: SparkSession, d: str) -> DataFrame:
 
 
 @book.add(
-    "SRC-53 SRC-33",
+    "SRC-53",
     """WITH p AS (SELECT object_key, line_no, NOT json_valid(line_text) AS bad FROM object_lines WHERE trim(line_text) <> '')
        SELECT object_key, count(*) FILTER (bad) AS n_corrupt, min(line_no) FILTER (bad) = max(line_no) AS only_tail FROM p GROUP BY 1 HAVING count(*) FILTER (bad) > 0""",
 )
