@@ -230,7 +230,7 @@ def _merge(journal: Journal, plan: DataFrame, lines: DataFrame, seen: DataFrame,
     count = min(plan.select("txn").distinct().count(), MOST_TASKS)
     # all of a merge is in one task, which writes it as one file
     rows = rows.repartition(count, "txn")
-    if level == 1:  # a row given twice has its text twice; what merges hold, they hold once
+    if not plan.where("object").isEmpty():  # a row given twice has its text twice; what merges hold, they hold once
         once = Window.partitionBy("txn", "record").orderBy("object_key", "line_no")
         rows = rows.withColumn("r", F.row_number().over(once)).where("r = 1").drop("r")
     rows = rows.withColumnRenamed("txn", "file").sortWithinPartitions("file")

@@ -33,6 +33,18 @@ def closure(edges: DataFrame) -> DataFrame:
     return reached
 
 
+def without_cycles(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(src, dst, accepted) of the ``new`` edges: those that would close a cycle, alone or with one another, are rejected.
+
+    ``old`` has no cycles. An edge lies on one if its end reaches its start over the edges of both.
+    """
+    fresh = new.select("src", "dst").where("src is not null and dst is not null").distinct()
+    back = closure(old.select("src", "dst").unionByName(fresh)).select(F.col("src").alias("dst"), F.col("dst").alias("src"), F.lit(False).alias("accepted"))
+    rows = fresh.join(back, ["src", "dst"], "left")
+    free = F.coalesce("accepted", F.lit(True)) & (F.col("src") != F.col("dst"))
+    return rows.select("src", "dst", free.alias("accepted"))
+
+
 def on_cycles(pairs: DataFrame) -> DataFrame:
     """(node) of every node that reaches itself."""
     return pairs.where("src = dst").select(F.col("src").alias("node")).distinct()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from foliomill.functions import hashing as H
 from foliomill.operators import ledger as L
 from foliomill.operators import lineage as G
+from foliomill.operators.ranges import attach
 from foliomill.plans.define import Book
 from foliomill.runtime import table
 
@@ -258,20 +259,33 @@ def q_graph_diff(spark: SparkSession, d: str) -> DataFrame:
 
 @book.add(
     "TMP-02 TMP-01",
-    """WITH v AS (SELECT source_identifier, document_url, status, recorded_at AS valid_from, lead(recorded_at) OVER (PARTITION BY source_identifier, document_url ORDER BY recorded_at, delivered_at, snapshot_no, status, coalesce(sha256, '')) AS valid_to, delivered_at AS known_from FROM checkpoint_snapshots)
-       SELECT source_identifier, document_url, status FROM v WHERE valid_from <= TIMESTAMP '2024-03-01' AND (valid_to IS NULL OR TIMESTAMP '2024-03-01' < valid_to) AND known_from <= TIMESTAMP '2024-03-20'""",
+    """WITH v AS (SELECT source_identifier, document_url, status, recorded_at AS valid_from, lead(recorded_at) OVER (PARTITION BY source_identifier, document_url ORDER BY recorded_at, delivered_at, snapshot_no, status, coalesce(sha256, '')) AS valid_to,
+                  delivered_at AS known_from, min(delivered_at) OVER (PARTITION BY source_identifier, document_url ORDER BY delivered_at RANGE BETWEEN INTERVAL 1 MICROSECOND FOLLOWING AND UNBOUNDED FOLLOWING) AS known_to FROM checkpoint_snapshots)
+       SELECT source_identifier, document_url, status, valid_from FROM v WHERE valid_from <= TIMESTAMP '2024-03-01' AND (valid_to IS NULL OR TIMESTAMP '2024-03-01' < valid_to)
+         AND known_from <= TIMESTAMP '2024-03-20' AND (known_to IS NULL OR TIMESTAMP '2024-03-20' < known_to)""",
 )
 def q_bitemporal_asof(spark: SparkSession, d: str) -> DataFrame:
+    """What was valid on one day as it was known on another; a row is known until the next delivery of its key."""
     order = Window.partitionBy(*_KEYS).orderBy("recorded_at", "delivered_at", "snapshot_no", "status", F.coalesce("sha256", F.lit("")))
-    rows = table(spark, d, "checkpoint_snapshots").select(
-        *_KEYS,
-        "status",
-        F.col("recorded_at").alias("valid_from"),
-        F.lead("recorded_at").over(order).alias("valid_to"),
-        F.col("delivered_at").alias("known_from"),
-        F.lit(None).cast("timestamp_ntz").alias("known_to"),
+    rows = table(spark, d, "checkpoint_snapshots")
+    times = rows.select(*_KEYS, F.col("delivered_at").alias("known_from")).distinct()
+    known = times.withColumn("known_to", F.lead("known_from").over(Window.partitionBy(*_KEYS).orderBy("known_from")))
+    rows = rows.select(
+        *_KEYS, "status", F.col("recorded_at").alias("valid_from"), F.lead("recorded_at").over(order).alias("valid_to"), F.col("delivered_at").alias("known_from")
     )
-    return G.as_of(rows, datetime(2024, 3, 1), datetime(2024, 3, 20)).select(*_KEYS, "status")
+    return G.as_of(attach(rows, known, [*_KEYS, "known_from"]), datetime(2024, 3, 1), datetime(2024, 3, 20)).select(*_KEYS, "status", "valid_from")
+
+
+@book.add(
+    "GRF-01",
+    """WITH RECURSIVE n AS (SELECT n_nationkey AS src, (n_nationkey * 7 + n_regionkey) % 25 AS dst FROM nation), o AS (SELECT src, dst FROM n WHERE src < dst),
+       e AS (SELECT * FROM o UNION SELECT src, dst FROM n), c(src, dst) AS (SELECT src, dst FROM e UNION SELECT c.src, e.dst FROM c JOIN e ON c.dst = e.src)
+       SELECT n.src, n.dst, n.src <> n.dst AND NOT EXISTS (SELECT 1 FROM c WHERE c.src = n.dst AND c.dst = n.src) AS accepted FROM n""",
+)
+def q_edges_without_cycles(spark: SparkSession, d: str) -> DataFrame:
+    """Edges that may be added to those that only go up: what would close a cycle is rejected."""
+    edges = table(spark, d, "nation").select(F.col("n_nationkey").alias("src"), ((F.col("n_nationkey") * 7 + F.col("n_regionkey")) % 25).alias("dst"))
+    return G.without_cycles(edges.where("src < dst"), edges)
 
 
 @book.add(

@@ -10,7 +10,7 @@ from foliomill.functions import patterns as P
 from foliomill.functions import text as T
 from foliomill.operators import ledger as L
 from foliomill.operators import sequence as S
-from foliomill.operators.ranges import attach, placed
+from foliomill.operators.ranges import attach, placed, placed_within
 from foliomill.plans.define import Book
 from foliomill.runtime import table
 from foliomill.sources import observations as O
@@ -487,3 +487,84 @@ def q_token_breakdown(spark: SparkSession, d: str) -> DataFrame:
 def q_clipped(spark: SparkSession, d: str) -> DataFrame:
     """The beginning of each text, and whether more follows."""
     return table(spark, d, "documents").where("text is not null").select("doc_id", F.left("text", F.lit(120)).alias("clipped"), (F.length("text") > 120).alias("truncated"))
+
+
+@book.add(
+    "SRT-08",
+    """WITH r AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i, count(*) OVER (PARTITION BY source) AS n FROM documents)
+       SELECT source, doc_id, CASE WHEN i <= 3 THEN 'head' ELSE 'tail' END AS part FROM r WHERE i <= 3 OR i > n - 3""",
+)
+def q_head_and_tail(spark: SparkSession, d: str) -> DataFrame:
+    """The first and the last three documents of each source; a document that is both counts as first."""
+    docs = table(spark, d, "documents").select("source", "doc_id")
+    rows = attach(placed_within(docs, ["source"], F.asc("doc_id")), docs.groupBy("source").agg(F.count(F.lit(1)).alias("n")), ["source"])
+    head, tail = F.col("place") <= 3, F.col("place") > F.col("n") - 3
+    return rows.where(head | tail).select("source", "doc_id", F.when(head, "head").otherwise("tail").alias("part"))
+
+
+@book.add(
+    "WIN-16 WIN-17",
+    """WITH r AS (SELECT source, source_artifact_id, row_number() OVER (PARTITION BY source ORDER BY page_count DESC NULLS LAST, source_artifact_id) AS turn FROM source_artifacts),
+       p AS (SELECT *, row_number() OVER (ORDER BY turn, source NULLS FIRST) AS place FROM r) SELECT source, source_artifact_id, turn, place FROM p WHERE place <= 60""",
+)
+def q_diverse_selection(spark: SparkSession, d: str) -> DataFrame:
+    """Sixty artifacts taken from the sources in turn, the longest of each first."""
+    rows = table(spark, d, "source_artifacts").select("source", "source_artifact_id", "page_count")
+    turns = S.round_robin(rows, "source", F.desc_nulls_last("page_count"), F.asc("source_artifact_id"))
+    taken = turns.orderBy("turn", F.asc_nulls_first("source")).limit(60)  # sixty rows, which one window may number
+    place = F.row_number().over(Window.orderBy("turn", F.asc_nulls_first("source")))
+    return taken.select("source", "source_artifact_id", "turn", place.cast("bigint").alias("place"))
+
+
+@book.add(
+    "JSN-03",
+    """WITH p AS (SELECT object_key, line_no, line_text::JSON AS j FROM object_lines WHERE json_valid(line_text))
+       SELECT object_key, line_no, j->>'source_identifier' AS source_identifier, j->>'document_url' AS document_url, j->>'status' AS status, j->>'sha256' AS sha256, (j->>'byte_count')::BIGINT AS byte_count, j->>'content_type' AS content_type, j->>'file_extension' AS file_extension, j->>'error_type' AS error_type, j->>'reason' AS reason FROM p WHERE json_type(j) = 'OBJECT'""",
+)
+def q_record_set(spark: SparkSession, d: str) -> DataFrame:
+    """Objects as rows of typed columns."""
+    schema = "array<struct<source_identifier: string, document_url: string, status: string, sha256: string, byte_count: bigint, content_type: string, file_extension: string, error_type: string, reason: string>>"
+    text = F.concat(F.lit("["), "line_text", F.lit("]"))
+    v = F.try_parse_json(text)
+    whole = F.try_variant_get(v, "$[1]", "variant").isNull() & F.schema_of_variant(F.try_variant_get(v, "$[0]", "variant")).startswith("OBJECT")
+    rows = table(spark, d, "object_lines").where(whole)
+    return rows.select("object_key", "line_no", F.inline(F.from_json(text, schema)))
+
+
+@book.add(
+    "STR-12",
+    r"""WITH p AS (SELECT candidate_id, candidate_text AS c, list_distinct(regexp_extract_all(text, 'Ley núm\. \d+-\d+|\d{3}-\d{4}-[A-Z]{4}-\d{5}')) AS need FROM candidate_texts JOIN source_texts USING (text_id) WHERE text IS NOT NULL AND candidate_text IS NOT NULL)
+       SELECT candidate_id, len(need) AS n_required, len(list_filter(need, lambda x: NOT contains(lower(c), lower(x)))) AS n_missing FROM p""",
+)
+def q_missing_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Spans of the reference that a candidate must hold, and how many it does not."""
+    texts = table(spark, d, "source_texts").where("text is not null")
+    need = F.array_distinct(F.regexp_extract_all("text", F.lit(r"Ley núm\. \d+-\d+|\d{3}-\d{4}-[A-Z]{4}-\d{5}"), F.lit(0)))
+    cand = table(spark, d, "candidate_texts").where("candidate_text is not null").select("candidate_id", "text_id", F.lower("candidate_text").alias("c"))
+    rows = cand.join(texts.select("text_id", need.alias("need")), "text_id")
+    missing = F.size(F.filter("need", lambda x: ~F.contains("c", F.lower(x))))
+    return rows.select("candidate_id", F.size("need").cast("bigint").alias("n_required"), missing.cast("bigint").alias("n_missing"))
+
+
+@book.add(
+    "STR-04",
+    """SELECT doc_id, md5(strip_accents(decision_number || ' ' || coalesce(court_organ, '') || ' ' || left(text, 400))) AS plain FROM documents WHERE decision_number IS NOT NULL AND regexp_full_match(left(text, 400), '[\x00-ɏ]*')""".replace("\\x00", "\\x{00}"),
+)
+def q_accent_strip(spark: SparkSession, d: str) -> DataFrame:
+    """Names and beginnings of texts without their marks, whatever the alphabet; canonical decomposition has no built-in form."""
+    head = F.left("text", F.lit(400))
+    rows = table(spark, d, "documents").where("decision_number is not null").where(head.rlike("^[\u0000-\u024f]*$"))
+    name = F.concat("decision_number", F.lit(" "), F.coalesce("court_organ", F.lit("")), F.lit(" "), head)
+    return rows.select("doc_id", F.md5(T.strip_marks(name)).alias("plain"))
+
+
+@book.add(
+    "GRF-04",
+    """WITH p AS (SELECT source_artifact_id, page_index, authority FROM source_texts), l AS (SELECT source_artifact_id, coalesce(page_index, -1) AS parent, authority AS label, count(*) AS n FROM p WHERE authority IS NOT NULL GROUP BY ALL)
+       SELECT source_artifact_id, parent, label, n FROM l WHERE n > 1""",
+)
+def q_repeated_siblings(spark: SparkSession, d: str) -> DataFrame:
+    """Labels that stand more than once under one parent."""
+    rows = table(spark, d, "source_texts").where("authority is not null")
+    parent = F.coalesce("page_index", F.lit(-1)).alias("parent")
+    return rows.groupBy("source_artifact_id", parent, F.col("authority").alias("label")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
