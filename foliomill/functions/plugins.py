@@ -127,3 +127,20 @@ def tree_text_of(col: pd.Series) -> pd.Series:
 def content_text_of(col: pd.Series) -> pd.Series:
     """Python: text of JSON content given as a string, an object or a list of parts."""
     return col.map(lambda s: None if s is None else parts_text(json.loads(s)))
+
+
+#: The names under which providers report what an answer took.
+SPELLINGS = {
+    "input_tokens": ("$.usage.prompt_tokens", "$.usage.input_tokens"),
+    "output_tokens": ("$.usage.completion_tokens", "$.usage.output_tokens"),
+    "cost": ("$.usage.cost", "$.usage.total_cost", "$.cost"),
+    "answers": ("$.choices[0].message.content", "$.output_text", "$.answers"),
+}
+
+
+def provider_response(raw: Column) -> Column:
+    """(answers, input_tokens, output_tokens, cost) of a provider's JSON, whichever names it uses; nulls where it has none or
+    is no JSON. Answers given as an object stay JSON text."""
+    first = lambda name: F.coalesce(*[F.nullif(F.get_json_object(raw, p), F.lit("")) for p in SPELLINGS[name]])
+    number = lambda name, kind: first(name).try_cast(kind).alias(name)
+    return F.struct(first("answers").alias("answers"), number("input_tokens", "bigint"), number("output_tokens", "bigint"), number("cost", "double"))

@@ -568,3 +568,58 @@ def q_repeated_siblings(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "source_texts").where("authority is not null")
     parent = F.coalesce("page_index", F.lit(-1)).alias("parent")
     return rows.groupBy("source_artifact_id", parent, F.col("authority").alias("label")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+_PRINTED = f"m AS (SELECT source_artifact_id, text_id, page_index, {_MARKER.format('text')} AS printed FROM source_texts WHERE page_index IS NOT NULL)"
+
+
+def _printed(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "source_texts").where("page_index is not null")
+    return pages.select("source_artifact_id", "text_id", "page_index", Y.printed_marker(F.col("text")).alias("printed"))
+
+
+@book.add(
+    "STR-33",
+    f"""WITH {_PRINTED} SELECT source_artifact_id, printed, min(page_index) AS view, count(DISTINCT page_index) AS n_views, count(DISTINCT page_index) > 1 AS conflict FROM m WHERE printed IS NOT NULL GROUP BY 1, 2""",
+)
+def q_resolved_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Printed page to page of the view, from what the pages bear; a number on two pages is a conflict."""
+    rows = _printed(spark, d).where("printed is not null").groupBy("source_artifact_id", "printed")
+    rows = rows.agg(F.min("page_index").alias("view"), F.count_distinct("page_index").alias("n_views"))
+    return rows.withColumn("conflict", F.col("n_views") > 1)
+
+
+@book.add(
+    "ARR-02",
+    f"""WITH {_PRINTED}, o AS (SELECT source_artifact_id, printed - page_index AS shift, count(DISTINCT page_index) AS support FROM m WHERE printed IS NOT NULL GROUP BY 1, 2),
+       n AS (SELECT source_artifact_id, count(DISTINCT page_index) AS n_marked FROM m WHERE printed IS NOT NULL GROUP BY 1),
+       b AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY source_artifact_id ORDER BY support DESC, shift) = 1)
+       SELECT m.source_artifact_id, m.text_id, b.shift, CASE WHEN b.support >= 2 AND b.support / n.n_marked >= 0.5 THEN m.page_index + b.shift END AS logical_page,
+              m.printed IS NOT NULL AND m.printed = m.page_index + b.shift AS confirmed
+       FROM m JOIN b USING (source_artifact_id) JOIN n USING (source_artifact_id)""",
+)
+def q_logical_view(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of an artifact under the shift between printed and physical numbers that most of its marked pages bear."""
+    pages = _printed(spark, d)
+    marked = pages.where("printed is not null")
+    shifts = marked.groupBy("source_artifact_id", (F.col("printed") - F.col("page_index")).alias("shift")).agg(F.count_distinct("page_index").alias("support"))
+    best = shifts.groupBy("source_artifact_id").agg(F.max(F.struct("support", (-F.col("shift")).alias("minus"))).alias("b"))
+    n = marked.groupBy("source_artifact_id").agg(F.count_distinct("page_index").alias("n_marked"))
+    rows = pages.join(best.join(n, "source_artifact_id"), "source_artifact_id").withColumn("shift", -F.col("b.minus"))
+    sure = (F.col("b.support") >= 2) & (F.col("b.support") / F.col("n_marked") >= 0.5)
+    page = F.col("page_index") + F.col("shift")
+    return rows.select("source_artifact_id", "text_id", "shift", F.when(sure, page).alias("logical_page"), F.coalesce(F.col("printed") == page, F.lit(False)).alias("confirmed"))
+
+
+@book.add(
+    "SRC-13",
+    """WITH y AS (SELECT source, year(decision_date) AS year, count(*) AS n FROM documents WHERE source IS NOT NULL AND decision_date IS NOT NULL GROUP BY 1, 2),
+       s AS (SELECT source, count(*) FILTER (year BETWEEN 1000 AND 9999) AS size FROM y GROUP BY 1), w AS (SELECT source FROM s ORDER BY size DESC, source LIMIT 1)
+       SELECT source, year, n FROM y JOIN w USING (source) WHERE year BETWEEN 1000 AND 9999""",
+)
+def q_year_domain(spark: SparkSession, d: str) -> DataFrame:
+    """The years that may be asked for: those of the source that offers the most."""
+    docs = table(spark, d, "documents").where("source is not null and decision_date is not null")
+    years = docs.groupBy("source", F.year("decision_date").alias("year")).agg(F.count(F.lit(1)).alias("n")).where(F.col("year").between(1000, 9999))
+    widest = years.groupBy("source").agg(F.count(F.lit(1)).alias("size")).orderBy(F.desc("size"), "source").limit(1).select("source")
+    return years.join(F.broadcast(widest), "source").select("source", "year", "n")  # one row

@@ -174,3 +174,26 @@ def archive_members(files: DataFrame, key: str, content: str) -> DataFrame:
 
     rows = files.select(F.col(key).cast("string").alias("key"), F.col(content).alias("content"))
     return rows.mapInPandas(run, "key string, member string, payload binary").withColumnRenamed("key", key)
+
+
+#: The part of a page in which its number is printed, and numbers that are years.
+TOP_SHARE, OUTER_SHARE, YEARS = 0.18, 0.25, (1900, 2100)
+
+
+def printed_candidates(words: DataFrame) -> DataFrame:
+    """(page, candidates) from ``words`` (page, side, text, x0, y0, x1, y1, width, height): whole numbers at the top of a page and
+    on its outer side, left or right; neither 0 nor a year. A page without any has an empty list."""
+    x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
+    outer = F.when(F.col("side") == "left", x <= OUTER_SHARE * F.col("width")).otherwise(x >= (1 - OUTER_SHARE) * F.col("width"))
+    number = F.when(F.col("text").rlike(r"^\d{1,9}$"), F.col("text").cast("int"))
+    fits = (y <= TOP_SHARE * F.col("height")) & outer & (number != 0) & ~number.between(*YEARS)
+    return words.groupBy("page").agg(F.sort_array(F.collect_set(F.when(fits, number))).alias("candidates"))
+
+
+def member_pages(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(page_index, text, label) of an archive: pages by the number in the names of ``members`` (member, text), with the
+    class that ``labels`` (line: JSON lines with page_index and classification) gives them; other members are no pages."""
+    page = F.nullif(F.regexp_extract("member", r"(?:^|/)page-(\d+)\.txt$", 1), F.lit("")).cast("int")
+    pages = members.select(page.alias("page_index"), "text").where("page_index is not null")
+    given = labels.select(F.from_json("line", "page_index int, classification string").alias("x")).select("x.page_index", F.col("x.classification").alias("label"))
+    return pages.join(given.where("page_index is not null").groupBy("page_index").agg(F.max("label").alias("label")), "page_index", "left")

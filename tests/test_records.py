@@ -7,9 +7,9 @@ import random
 from pyspark.sql import functions as F
 from tests.conftest import rows
 
-from foliomill.functions import fidelity, layouts, patterns
-from foliomill.operators import ledger
-from foliomill.sources import observations, sinks
+from foliomill.functions import fidelity, layouts, patterns, plugins
+from foliomill.operators import ledger, lineage
+from foliomill.sources import files, observations, sinks
 
 
 def distance(a, b):
@@ -120,3 +120,31 @@ def test_put_immutable_within_a_batch(spark, tmp_path):
     assert sinks.put_immutable(spark.createDataFrame([("a", "1")], schema), path, "k", "sha").count() == 0
     bad = sinks.put_immutable(spark.createDataFrame([("b", "1"), ("b", "2"), ("a", "1")], schema), path, "k", "sha")
     assert rows(bad) == [("b", "1", "2")] and spark.read.parquet(path).count() == 1
+
+
+def test_printed_candidates(spark):
+    word = lambda page, side, text, x, y: (page, side, text, x, y, x + 10.0, y + 10.0, 1000.0, 1000.0)
+    words = [
+        word(1, "left", "17", 10.0, 20.0), word(1, "left", "18", 900.0, 20.0), word(1, "left", "1999", 10.0, 20.0), word(1, "left", "0", 10.0, 20.0), word(1, "left", "3", 10.0, 500.0),
+        word(2, "right", "21", 950.0, 100.0), word(2, "right", "x2", 950.0, 100.0), word(2, "right", "21", 950.0, 30.0), word(3, "right", None, 950.0, 30.0),
+    ]
+    df = spark.createDataFrame(words, "page int, side string, text string, x0 double, y0 double, x1 double, y1 double, width double, height double")
+    assert rows(files.printed_candidates(df)) == [(1, [17]), (2, [21]), (3, [])]
+
+
+def test_member_pages(spark):
+    members = spark.createDataFrame([("a/page-0007.txt", "t7"), ("page-12.txt", None), ("notes.txt", "n")], "member string, text string")
+    labels = spark.createDataFrame([('{"page_index": 7, "classification": "body"}',), ("broken",), (None,)], "line string")
+    assert rows(files.member_pages(members, labels)) == sorted([(7, "t7", "body"), (12, None, None)], key=repr)
+
+
+def test_provider_response(spark):
+    raw = ['{"choices": [{"message": {"content": "yes"}}], "usage": {"prompt_tokens": 5, "completion_tokens": 2, "cost": 0.5}}', '{"answers": {"a": 1}, "usage": {"input_tokens": "x", "output_tokens": 3}, "cost": 1}', "none", None]
+    got = [tuple(r[0]) for r in spark.createDataFrame([(x,) for x in raw], "t string").select(plugins.provider_response(F.col("t"))).collect()]
+    assert got == [("yes", 5, 2, 0.5), ('{"a":1}', None, 3, 1.0), (None,) * 4, (None,) * 4]
+
+
+def test_edges_that_close_cycles(spark):
+    old = spark.createDataFrame([(1, 2), (2, 3)], "src int, dst int")
+    new = spark.createDataFrame([(3, 1), (3, 4), (5, 5), (6, 7), (7, 6), (None, 1), (3, 4)], "src int, dst int")
+    assert rows(lineage.without_cycles(old, new)) == [(3, 1, False), (3, 4, True), (5, 5, False), (6, 7, False), (7, 6, False)]
