@@ -17,6 +17,7 @@ SPANISH_MONTHS = (
 ACCENTED, PLAIN = "áéíóúüñàèìòùâêîôûäëïöçÁÉÍÓÚÜÑÀÈÌÒÙÂÊÎÔÛÄËÏÖÇ", "aeiouunaeiouaeiouaeiocAEIOUUNAEIOUAEIOUAEIOC"
 #: Line ends beyond the usual ones: vertical tab, form feed, separators, next line.
 LINE_END = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
+#: Facts as the texts of this corpus write them.
 FACTS = {
     "laws": r"(?i)ley\s+n[uú]m\.?\s*\d+-\d+",
     "articles": r"(?i)art[ií]culo\s+\d+",
@@ -32,14 +33,13 @@ def collapse(col: Column) -> Column:
     return F.trim(F.regexp_replace(col, r"(?U)\s+", " "))
 
 
-def comparable(col: Column) -> Column:
-    """Collapsed and in lower case; blank is null."""
-    return F.nullif(F.lower(collapse(col)), F.lit(""))
+#: Fixed value: a word with inner dots, slashes and hyphens.
+WORD = r"([\p{L}\p{N}_]+(?:[./-][\p{L}\p{N}_]+)*)"
 
 
 def tokens(col: Column) -> Column:
     """Words with inner dots, slashes and hyphens, in lower case."""
-    return F.regexp_extract_all(F.lower(col), F.lit(r"([\p{L}\p{N}_]+(?:[./-][\p{L}\p{N}_]+)*)"), F.lit(1))
+    return F.regexp_extract_all(F.lower(col), F.lit(WORD), F.lit(1))
 
 
 def token_set(col: Column, least: int = 2) -> Column:

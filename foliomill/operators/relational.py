@@ -82,3 +82,9 @@ def range_lookup(ranges: DataFrame, rows: DataFrame, key: str, place: str, block
     parts = found.groupBy(key, "first", "last", "__b").agg(F.count("__f").alias("n"), lacking.alias("m"))
     ordered = F.array_sort(F.collect_list(F.struct("__b", "m")))
     return parts.groupBy(key, "first", "last").agg(F.sum("n").alias("n_found"), F.flatten(F.transform(ordered, lambda p: p["m"])).alias("missing"))
+
+
+def of_last(df: DataFrame, number: str) -> DataFrame:
+    """The rows with the greatest ``number``; one row is broadcast."""
+    last = df.agg(F.max(number).alias("__last"))
+    return df.join(F.broadcast(last), F.col(number) == F.col("__last")).drop("__last")

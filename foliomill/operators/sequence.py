@@ -60,20 +60,6 @@ def longest_repeat(df: DataFrame, group: list[str], place: str, value: str) -> D
     return rows.groupBy(*group, "__g").agg(F.count(F.lit(1)).alias("n")).groupBy(*group).agg(F.max("n").alias("longest"))
 
 
-def adjacent(df: DataFrame, group: list[str], place: str, *columns: str) -> DataFrame:
-    """Each row with the ``columns`` of the one after it as ``next_...``; the last row of a group has none and is left out."""
-    order = Window.partitionBy(*group).orderBy(place)
-    rows = df.select(*group, place, *columns, *[F.lead(c).over(order).alias(f"next_{c}") for c in (place, *columns)])
-    return rows.where(F.col(f"next_{place}").isNotNull())
-
-
-def longest_streak(df: DataFrame, group: list[str], place: str, bad: Column) -> DataFrame:
-    """(group, longest, opens_at): longest run of bad rows; used by the breaker."""
-    order = Window.partitionBy(*group).orderBy(place)
-    rows = df.withColumn("__bad", bad).withColumn("__good", F.count_if(~bad).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.where("__bad").groupBy(*group, "__good").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
-
-
 def overlaps(df: DataFrame, group: list[str], start: str, end: str, key: str) -> DataFrame:
     """Intervals that begin before an earlier one of their group has ended; a null end is open."""
     order = Window.partitionBy(*group).orderBy(start, key).rowsBetween(Window.unboundedPreceding, -1)

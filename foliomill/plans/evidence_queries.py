@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from foliomill.functions import plugins as P
 from foliomill.operators import ledger as L
 from foliomill.operators.ranges import placed_within
+from foliomill.operators.relational import of_last
 from foliomill.operators.sequence import halves
 from foliomill.plans.define import Book
 from foliomill.runtime import table
@@ -87,11 +88,11 @@ def q_reusable_newest(spark: SparkSession, d: str) -> DataFrame:
 
 @book.add(
     "JOI-11 SET-08 SRC-21",
-    """WITH o AS (SELECT DISTINCT key FROM stored_objects), s AS (SELECT DISTINCT source_identifier, document_url, object_key FROM checkpoint_snapshots WHERE snapshot_no = 8)
+    """WITH o AS (SELECT DISTINCT key FROM stored_objects), s AS (SELECT DISTINCT source_identifier, document_url, object_key FROM checkpoint_snapshots WHERE snapshot_no = (SELECT max(snapshot_no) FROM checkpoint_snapshots))
        SELECT CASE WHEN object_key IS NULL THEN 'unregistered' WHEN o.key IS NULL THEN 'object_missing' ELSE 'complete' END AS state, count(*) AS n FROM s LEFT JOIN o ON object_key = o.key GROUP BY 1""",
 )
 def q_storage_check(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "checkpoint_snapshots").where("snapshot_no = 8").select("source_identifier", "document_url", "object_key").distinct()
+    rows = of_last(table(spark, d, "checkpoint_snapshots"), "snapshot_no").select("source_identifier", "document_url", "object_key").distinct()
     keys = table(spark, d, "stored_objects").select("key").distinct()
     joined = rows.join(keys, F.col("object_key") == F.col("key"), "left")
     state = F.when(F.col("object_key").isNull(), "unregistered").when(F.col("key").isNull(), "object_missing").otherwise("complete")

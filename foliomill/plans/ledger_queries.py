@@ -11,6 +11,7 @@ from foliomill.functions import hashing as H
 from foliomill.operators import ledger as L
 from foliomill.operators import lineage as G
 from foliomill.operators.ranges import attach
+from foliomill.operators.relational import of_last
 from foliomill.plans.define import Book
 from foliomill.runtime import table
 
@@ -61,13 +62,13 @@ def q_completeness(spark: SparkSession, d: str) -> DataFrame:
 
 @book.add(
     "SET-05 SRC-22 UPS-26",
-    """WITH r AS (SELECT document_url, 'missing_storage' AS why, 0 AS p FROM checkpoint_snapshots WHERE snapshot_no = 8 AND status = 'stored' AND object_key NOT IN (SELECT key FROM stored_objects)
-                  UNION ALL SELECT document_url, 'not_stored', 1 FROM checkpoint_snapshots WHERE snapshot_no = 8 AND status <> 'stored')
+    """WITH r AS (SELECT document_url, 'missing_storage' AS why, 0 AS p FROM checkpoint_snapshots WHERE snapshot_no = (SELECT max(snapshot_no) FROM checkpoint_snapshots) AND status = 'stored' AND object_key NOT IN (SELECT key FROM stored_objects)
+                  UNION ALL SELECT document_url, 'not_stored', 1 FROM checkpoint_snapshots WHERE snapshot_no = (SELECT max(snapshot_no) FROM checkpoint_snapshots) AND status <> 'stored')
        SELECT document_url, why FROM r QUALIFY row_number() OVER (PARTITION BY document_url ORDER BY p) = 1""",
 )
 def q_reconcile_plan(spark: SparkSession, d: str) -> DataFrame:
     """What to fetch again: once for each url, a missing object before a failed fetch."""
-    rows = table(spark, d, "checkpoint_snapshots").where("snapshot_no = 8")
+    rows = of_last(table(spark, d, "checkpoint_snapshots"), "snapshot_no")
     keys = table(spark, d, "stored_objects").select(F.col("key").alias("object_key")).distinct()
     lost = rows.where("status = 'stored' and object_key is not null").join(keys, "object_key", "left_anti")
     both = lost.select("document_url", F.lit("missing_storage").alias("why"))

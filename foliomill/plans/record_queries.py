@@ -11,6 +11,7 @@ from foliomill.functions import text as T
 from foliomill.operators import ledger as L
 from foliomill.operators import sequence as S
 from foliomill.operators.ranges import attach, placed, placed_within
+from foliomill.operators.relational import of_last
 from foliomill.plans.define import Book
 from foliomill.runtime import table
 from foliomill.sources import observations as O
@@ -450,9 +451,7 @@ def q_version_on_date(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_certified_rules(spark: SparkSession, d: str) -> DataFrame:
     """What a certified inventory asserts, and how many rows of the last one break it."""
-    rows = table(spark, d, "checkpoint_snapshots")
-    last = rows.agg(F.max("snapshot_no").alias("last"))
-    rows = rows.join(F.broadcast(last), F.col("snapshot_no") == F.col("last"))  # one row
+    rows = of_last(table(spark, d, "checkpoint_snapshots"), "snapshot_no")
     stored = F.col("status") == "stored"
     rules = {
         "stored_has_digest": stored & F.col("sha256").isNull(),

@@ -30,8 +30,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_WRITTEN: list[str] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes what this process has written to the shared folder; results that read from it must have been stored before."""
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from foliomill.operators.relational import latest
 
+#: The fields of a journal record.
 CHECKPOINT_SCHEMA = (
     "source_identifier string, document_url string, status string, recorded_at string, sha256 string, object_key string, "
     "byte_count bigint, content_type string, file_extension string, error_type string, reason string"
 )
+#: The columns of a table of recognised words.
 TSV_SCHEMA = (
     "level int, page_num int, block_num int, par_num int, line_num int, word_num int, left int, top int, width int, "
     "height int, conf double, text string"
@@ -125,34 +127,71 @@ def anchors(pages: DataFrame, key: str, html: str) -> DataFrame:
     return rows.mapInPandas(run, f"key {kind}, place int, href string, text string").withColumnRenamed("key", key)
 
 
-def document_links(links: DataFrame, key: str, host: str, suffix: str) -> DataFrame:
-    """(url, key, place): links to files of one host, each url once, at its first place; the id is the url's hash."""
-    url = F.col("href")
-    rows = links.where((F.try_parse_url(url, F.lit("HOST")) == host) & F.lower(F.try_parse_url(url, F.lit("PATH"))).endswith(suffix))
-    first = latest(rows.select(key, "place", url.alias("url")), ["url"], F.asc(key), F.asc("place"))
-    return first.withColumn("id", F.sha2("url", 256))
+def _of(links: DataFrame, host: str | None, suffix: str | None) -> DataFrame:
+    if host is not None:
+        links = links.where(F.lower(F.try_parse_url("href", F.lit("HOST"))) == host.lower())
+    if suffix is not None:
+        links = links.where(F.endswith(F.lower(F.try_parse_url("href", F.lit("PATH"))), F.lit(suffix.lower())))
+    return links
+
+
+def resolved(links: DataFrame, base: str) -> DataFrame:
+    """Links with ``href`` made absolute against the address of their page: //host, /path and plain names."""
+    href, page = F.trim("href"), F.col(base)
+    root = F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*:)(//[^/?#]*)", 0)
+    folder = F.regexp_replace(F.regexp_replace(page, r"[?#].*$", ""), r"(?<=[^/:])/[^/]*$", "")
+    absolute = (
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        .when(href.startswith("//"), F.concat(F.regexp_extract(page, r"^[A-Za-z][A-Za-z0-9+.-]*:", 0), href))
+        .when(href.startswith("/"), F.concat(root, href))
+        .otherwise(F.concat(folder, F.lit("/"), href))
+    )
+    return links.withColumn("href", absolute)
+
+
+def document_links(links: DataFrame, key: str, host: str, suffix: str, last: bool = False) -> DataFrame:
+    """(url, key, place, text): links to files of one host, each url once, at its first place or, with ``last``, at its last;
+    the id is the url's hash."""
+    rows = _of(links, host, suffix).select(key, "place", "text", F.col("href").alias("url"))
+    order = [F.desc(key), F.desc("place")] if last else [F.asc(key), F.asc("place")]
+    return latest(rows, ["url"], *order).withColumn("id", F.sha2("url", 256))
+
 
+def single_link(links: DataFrame, key: str, host: str | None = None, suffix: str | None = None) -> DataFrame:
+    """(key, url, n): the only distinct link of a page, of one host and kind of file where these are given; null with n other
+    than 1 where there is none or no one."""
+    fits = _of(links, host, suffix).groupBy(key).agg(F.count_distinct("href").alias("n"), F.min("href").alias("u"))
+    rows = links.select(key).distinct().join(fits, key, "left")
+    n = F.coalesce("n", F.lit(0))
+    return rows.select(key, F.when(n == 1, F.col("u")).alias("url"), n.alias("n"))
 
-def single_link(links: DataFrame, key: str) -> DataFrame:
-    """(key, url, n): the only distinct link of a page; null with n other than 1 where there is none or no one."""
-    sums = links.groupBy(key).agg(F.count_distinct("href").alias("n"), F.min("href").alias("u"))
-    return sums.select(key, F.when(F.col("n") == 1, F.col("u")).alias("url"), "n")
+
+#: Fixed value: the characters that XML 1.0 forbids.
+FORBIDDEN = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x{fffe}\x{ffff}]"
 
 
 def clean_xml(text: Column) -> Column:
     """Characters that XML 1.0 forbids, replaced by U+FFFD."""
-    return F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x{fffe}\x{ffff}]", "�")
+    return F.regexp_replace(text, FORBIDDEN, "\ufffd")
+
+
+def forbidden_in_xml(text: Column) -> Column:
+    """How many characters ``clean_xml`` replaces."""
+    return F.regexp_count(text, F.lit(FORBIDDEN))
 
 
 def layout_words(spark: SparkSession, path: str) -> DataFrame:
-    """(page, x_min, y_min, x_max, word, side) of word boxes in XHTML, by the built-in XML reader."""
+    """(file, page, x_min, y_min, x_max, word, side) of word boxes in XHTML, by the built-in XML reader; pages count from 1."""
     box = "struct<_xMin:double,_yMin:double,_xMax:double,_yMax:double,_VALUE:string>"
-    schema = f"_width double, _height double, word array<{box}>"
-    pages = spark.read.format("xml").option("rowTag", "page").schema(schema).load(path)
-    words = pages.select(F.monotonically_increasing_id().alias("page"), F.col("_width").alias("width"), F.explode("word").alias("w"))
+    schema = f"page array<struct<_width: double, _height: double, word: array<{box}>>>"
+    docs = spark.read.format("xml").option("rowTag", "doc").schema(schema).load(path)
+    pages = docs.select(F.col("_metadata.file_path").alias("file"), F.posexplode("page").alias("i", "p"))
+    words = pages.select("file", (F.col("i") + 1).alias("page"), F.col("p._width").alias("width"), F.explode("p.word").alias("w"))
     middle = (F.col("w._xMin") + F.col("w._xMax")) / 2
     side = F.when(middle < F.col("width") / 2, "left").otherwise("right")
-    return words.select("page", F.col("w._xMin").alias("x_min"), F.col("w._yMin").alias("y_min"), F.col("w._xMax").alias("x_max"), F.col("w._VALUE").alias("word"), side.alias("side"))
+    return words.select(
+        "file", "page", F.col("w._xMin").alias("x_min"), F.col("w._yMin").alias("y_min"), F.col("w._xMax").alias("x_max"), F.col("w._VALUE").alias("word"), side.alias("side")
+    )
 
 
 def word_table(spark: SparkSession, path: str) -> DataFrame:
@@ -161,6 +200,21 @@ def word_table(spark: SparkSession, path: str) -> DataFrame:
     return rows.where((F.col("conf") >= 0) & (F.trim("text") != ""))
 
 
+def recognised_lines(words: DataFrame) -> DataFrame:
+    """(page_num, block_num, par_num, line_num, text, confidence): the words of a line in order, and their mean confidence."""
+    place = ["page_num", "block_num", "par_num", "line_num"]
+    held = F.sort_array(F.collect_list(F.struct("word_num", "text")))  # the words of one line
+    rows = words.groupBy(*place).agg(held.alias("w"), F.avg("conf").alias("confidence"))
+    return rows.select(*place, F.array_join("w.text", " ").alias("text"), "confidence")
+
+
+def confidence_stats(words: DataFrame, low: float = 60.0) -> DataFrame:
+    """(page_num, n_words, mean, low_share) of each page: the share of words below ``low``."""
+    return words.groupBy("page_num").agg(
+        F.count(F.lit(1)).alias("n_words"), F.avg("conf").alias("mean"), (F.count_if(F.col("conf") < low) / F.count(F.lit(1))).alias("low_share")
+    )
+
+
 def archive_members(files: DataFrame, key: str, content: str) -> DataFrame:
     """(key, member, payload) of tar archives, compressed or not."""
 

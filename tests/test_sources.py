@@ -38,9 +38,29 @@ def test_anchors(spark):
     assert rows(files.single_link(links, "page")) == [(1, None, 2)]
 
 
+def test_links_of_one_kind(spark):
+    base = "https://h.example/list/page.html?x=1"
+    html = "".join(f'<a href="{h}">{t}</a>' for h, t in [("a.pdf", "first"), ("/b.PDF", "b"), ("//o.example/c.pdf", "c"), ("a.pdf", "last"), ("mailto:x@y", "m")])
+    pages = spark.createDataFrame([(1, html, base)], "page int, html string, base string")
+    links = files.resolved(files.anchors(pages, "page", "html").withColumn("base", F.lit(base)), "base")
+    assert [r["href"] for r in links.orderBy("place").collect()] == ["https://h.example/list/a.pdf", "https://h.example/b.PDF", "https://o.example/c.pdf", "https://h.example/list/a.pdf", "mailto:x@y"]
+    assert {r["text"] for r in files.document_links(links, "page", "h.example", ".pdf").collect()} == {"first", "b"}
+    assert {r["text"] for r in files.document_links(links, "page", "H.example", ".pdf", last=True).collect()} == {"last", "b"}
+    assert rows(files.single_link(links, "page", "o.example", ".pdf")) == [(1, "https://o.example/c.pdf", 1)]
+    assert rows(files.single_link(links, "page", "z.example")) == [(1, None, 0)]
+
+
+def test_recognised_lines(spark):
+    words = [(1, 1, 1, 1, 2, 50.0, "mundo"), (1, 1, 1, 1, 1, 90.0, "hola"), (1, 1, 1, 2, 1, 70.0, "fin"), (2, 1, 1, 1, 1, 10.0, "x")]
+    df = spark.createDataFrame(words, "page_num int, block_num int, par_num int, line_num int, word_num int, conf double, text string")
+    assert rows(files.recognised_lines(df).select("page_num", "line_num", "text", "confidence")) == [(1, 1, "hola mundo", 70.0), (1, 2, "fin", 70.0), (2, 1, "x", 10.0)]
+    assert rows(files.confidence_stats(df).select("page_num", "n_words", F.round("low_share", 3))) == [(1, 3, 0.333), (2, 1, 1.0)]
+    assert spark.range(1).select(files.forbidden_in_xml(F.lit("a\x01b\x02\n"))).first()[0] == 2
+
+
 def test_markup_words_and_table(spark, tmp_path):
     (tmp_path / "l.xml").write_text('<doc><page width="100" height="50"><word xMin="1" yMin="2" xMax="9" yMax="4">uno</word><word xMin="80" yMin="2" xMax="90" yMax="4">dos</word></page></doc>')
-    assert rows(files.layout_words(spark, str(tmp_path / "l.xml")).select("word", "side")) == [("dos", "right"), ("uno", "left")]
+    assert rows(files.layout_words(spark, str(tmp_path / "l.xml")).select("page", "word", "side")) == [(1, "dos", "right"), (1, "uno", "left")]
     head = "level\tpage_num\tblock_num\tpar_num\tline_num\tword_num\tleft\ttop\twidth\theight\tconf\ttext\n"
     (tmp_path / "w.tsv").write_text(head + "5\t1\t1\t1\t1\t1\t0\t0\t1\t1\t91.5\thola\n5\t1\t1\t1\t1\t2\t0\t0\t1\t1\t-1\t\n")
     assert rows(files.word_table(spark, str(tmp_path / "w.tsv")).select("text", "conf")) == [("hola", 91.5)]
