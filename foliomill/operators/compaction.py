@@ -133,15 +133,19 @@ class Journal(Commits):
 
     def clean(self) -> None:
         """Deletes the files of merges that later ones have taken up; they are committed, so nothing refers to them."""
-        gone = {r["file"] for r in self.consumed().join(self.rows().select(F.col("txn").alias("file")), "file", "left_semi").collect()}
-        for folder in self.folders("data"):
-            path = self.path(folder)
-            if not gone or not self.fs.exists(path):
+        gone = self.consumed().select(F.col("file").alias("txn"), F.lit(True).alias("gone"))
+        merges = self.rows().select("txn", "level", "run").join(gone, "txn", "left")
+        sums = merges.groupBy("level", "run").agg(F.count(F.lit(1)).alias("n"), F.count("gone").alias("gone")).where("gone > 0")
+        for row in sums.collect():  # a row for each tier of each run
+            folder = f"data/level={row['level']}/run={row['run']}"
+            if not self.fs.exists(self.path(folder)):
                 continue
-            parts = [s.getPath() for s in self.fs.listStatus(path) if s.getPath().getName().startswith("file=")]
-            old = [p for p in parts if p.getName().removeprefix("file=") in gone]
-            for p in [path] if len(old) == len(parts) else old:
-                self.fs.delete(p, True)
+            if row["n"] == row["gone"]:
+                self.delete(folder)
+                continue
+            part = merges.where((F.col("level") == row["level"]) & (F.col("run") == row["run"]) & F.col("gone"))
+            for merge in part.select("txn").toLocalIterator():
+                self.delete(f"{folder}/file={merge['txn']}")
 
 
 @dataclass

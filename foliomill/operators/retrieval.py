@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliomill.functions import text as T
+from foliomill.runtime import materialize
 
 
 def lexical_rank(docs: DataFrame, key: str, text: str, words: list[str], k: int) -> DataFrame:
@@ -17,6 +18,7 @@ def lexical_rank(docs: DataFrame, key: str, text: str, words: list[str], k: int)
     # array_remove counts a word without a lambda
     counts = [(F.size("w") - F.size(F.array_remove("w", q))).alias(f"n{i}") for i, q in enumerate(words)]
     rows = docs.select(F.col(key), tokens.alias("w")).select(key, F.size("w").alias("n"), *counts)
+    rows = materialize(rows, "lexical-counts")  # a few numbers a row: texts are read and split once
     seen = [F.count_if(F.col(f"n{i}") > 0).alias(f"d{i}") for i in range(len(words))]
     totals = rows.agg(F.count(F.lit(1)).alias("total"), *seen)
     weight = lambda i: F.log((F.col("total") + 1) / (F.col(f"d{i}") + 1)) + 1
