@@ -379,7 +379,7 @@ def _texts_of(wanted: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _windows(span: int):
-    """(cls, cls2, start, w1, w2) of each window around the places given with each text, but for what settles a place.
+    """(cls, start, w1, w2) of each window around the places given with each text, but for what settles a place.
 
     A place is the same in every text that holds its block, and so is the stretch that settles it: what one text leaves
     out, the others leave out too.
@@ -403,17 +403,17 @@ def _windows(span: int):
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]] = []
+            held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
             total = 0
-            columns = [batch.column(c).to_pylist() for c in ("cls", "cls2", "text", "at")]
-            for cls, cls2, text, at in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("cls", "text", "at")]
+            for cls, text, at in zip(*columns):
                 start = starts(at, len(text))
                 if not len(start):
                     continue
                 codes = _codes(text)
                 up, _ = _Powers.get(len(codes) + 1)
                 sums = _sums(codes, _LEFT), _sums(codes, _RIGHT)
-                held.append((cls, cls2, start.astype(np.int32), *[_mix((s[start + span] - s[start]) * up[start]).view(np.int64) for s in sums]))
+                held.append((cls, start.astype(np.int32), *[_mix((s[start + span] - s[start]) * up[start]).view(np.int64) for s in sums]))
                 total += len(start)
                 if total > 1 << 18:
                     yield _window_rows(held)
@@ -425,20 +425,19 @@ def _windows(span: int):
 
 
 def _window_rows(held) -> pa.RecordBatch:
-    size = [len(h[2]) for h in held]
-    ids = [np.repeat(np.array([h[i] for h in held], dtype=np.int64), size) for i in (0, 1)]
-    rest = [np.concatenate([h[i] for h in held]) for i in (2, 3, 4)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in (*ids, *rest)], ["cls", "cls2", "start", "w1", "w2"])
+    cls = np.repeat(np.array([h[0] for h in held], dtype=np.int64), [len(h[1]) for h in held])
+    rest = [np.concatenate([h[i] for h in held]) for i in (1, 2, 3)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (cls, *rest)], ["cls", "start", "w1", "w2"])
 
 
-_WINDOW = "cls long, cls2 long, start int, w1 long, w2 long"
+_WINDOW = "cls long, start int, w1 long, w2 long"
 
 
 def _windows_of(places: DataFrame, texts: DataFrame, span: int) -> DataFrame:
     """The windows of ``span`` characters around ``places`` (cls, pos, lo, hi)."""
     # a text's places are fewer than its characters, so a row stays in proportion to its text
     at = places.groupBy("cls").agg(F.collect_set(F.struct("pos", "lo", "hi")).alias("at"))
-    return texts.join(at, "cls").select("cls", "cls2", "text", "at").mapInArrow(_windows(span), _WINDOW)
+    return texts.join(at, "cls").select("cls", "text", "at").mapInArrow(_windows(span), _WINDOW)
 
 
 def _members(docs: DataFrame, classes: DataFrame, span: int) -> tuple[DataFrame, DataFrame]:
