@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliomill.functions import layouts as Y
-from foliomill.functions import patterns as P
+from foliomill.functions import schema as C
 from foliomill.functions import text as T
 from foliomill.operators import ledger as L
 from foliomill.operators import sequence as S
@@ -622,3 +622,32 @@ def q_year_domain(spark: SparkSession, d: str) -> DataFrame:
     years = docs.groupBy("source", F.year("decision_date").alias("year")).agg(F.count(F.lit(1)).alias("n")).where(F.col("year").between(1000, 9999))
     widest = years.groupBy("source").agg(F.count(F.lit(1)).alias("size")).orderBy(F.desc("size"), "source").limit(1).select("source")
     return years.join(F.broadcast(widest), "source").select("source", "year", "n")  # one row
+
+
+#: What a journal record must hold.
+_RECORD = {
+    "type": "object",
+    "required": ["source_identifier", "document_url", "status", "recorded_at"],
+    "properties": {
+        "status": {"enum": ["stored", "unavailable", "failed"]},
+        "sha256": {"type": ["string", "null"], "minLength": 64},
+        "byte_count": {"type": ["integer", "null"], "minimum": 1},
+    },
+}
+
+
+@book.add(
+    "FLT-24",
+    """WITH p AS (SELECT CASE WHEN json_valid(line_text) THEN line_text::JSON END AS j FROM object_lines WHERE line_text IS NOT NULL),
+       e AS (SELECT '$' AS path, 'json' AS rule FROM p WHERE j IS NULL UNION ALL SELECT '$', 'type' FROM p WHERE json_type(j) <> 'OBJECT'
+         UNION ALL SELECT '$.' || f, 'required' FROM p, (SELECT unnest(['source_identifier', 'document_url', 'status', 'recorded_at']) AS f) WHERE json_type(j) = 'OBJECT' AND NOT list_contains(json_keys(j), f)
+         UNION ALL SELECT '$.status', 'enum' FROM p WHERE json_type(j) = 'OBJECT' AND list_contains(json_keys(j), 'status') AND coalesce(j->>'status', '') NOT IN ('stored', 'unavailable', 'failed')
+         UNION ALL SELECT '$.sha256', 'length' FROM p WHERE json_type(j->'sha256') = 'VARCHAR' AND length(j->>'sha256') < 64 UNION ALL SELECT '$.sha256', 'type' FROM p WHERE json_type(j->'sha256') NOT IN ('VARCHAR', 'NULL')
+         UNION ALL SELECT '$.byte_count', 'type' FROM p WHERE json_type(j->'byte_count') NOT IN ('UBIGINT', 'BIGINT', 'NULL') UNION ALL SELECT '$.byte_count', 'range' FROM p WHERE json_type(j->'byte_count') IN ('UBIGINT', 'BIGINT') AND (j->>'byte_count')::BIGINT < 1)
+       SELECT path, rule, count(*) AS n FROM e GROUP BY ALL""",
+)
+def q_schema_failures(spark: SparkSession, d: str) -> DataFrame:
+    """Where the lines of the journals break the schema of a record, and how often."""
+    rows = table(spark, d, "object_lines").where("line_text is not null")
+    found = rows.select(F.explode(C.json_failures(F.col("line_text"), _RECORD)).alias("e"))
+    return found.groupBy("e.path", "e.rule").agg(F.count(F.lit(1)).alias("n"))

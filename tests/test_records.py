@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 from tests.conftest import rows
 
-from foliomill.functions import fidelity, layouts, patterns, plugins
+from foliomill.functions import fidelity, layouts, patterns, plugins, schema
 from foliomill.operators import ledger, lineage
 from foliomill.sources import files, observations, sinks
 
@@ -148,3 +148,15 @@ def test_edges_that_close_cycles(spark):
     old = spark.createDataFrame([(1, 2), (2, 3)], "src int, dst int")
     new = spark.createDataFrame([(3, 1), (3, 4), (5, 5), (6, 7), (7, 6), (None, 1), (3, 4)], "src int, dst int")
     assert rows(lineage.without_cycles(old, new)) == [(3, 1, False), (3, 4, True), (5, 5, False), (6, 7, False), (7, 6, False)]
+
+
+def test_schema_failures_say_where(spark):
+    inner = {"type": "object", "required": ["id"], "properties": {"id": {"type": "integer", "minimum": 1}, "tags": {"type": "array", "maxItems": 2, "items": {"type": "string", "minLength": 1}}}, "additionalProperties": False}
+    rule = {"type": "object", "properties": {"items": {"type": "array", "items": inner}, "kind": {"enum": ["a", None]}}}
+    value = {"kind": "b", "items": [{"id": 1, "tags": ["x"]}, {"id": 0, "more": 1}, {"tags": ["x", "", 3]}, 7, {"id": True}]}
+    want = [("$.kind", "enum"), ("$.items[1].more", "unknown"), ("$.items[1].id", "range"), ("$.items[2].id", "required"), ("$.items[2].tags", "items")]
+    want += [("$.items[2].tags[1]", "length"), ("$.items[2].tags[2]", "type"), ("$.items[3]", "type"), ("$.items[4].id", "type")]
+    assert schema.failures(value, rule) == want and schema.failures([], rule) == [("$", "type")]
+    lines = spark.createDataFrame([(json.dumps(value),), ("{",), (None,), ("{}",), ("[" * 5000,)], "t string")
+    got = [r[0] if r[0] is None else len(r[0]) for r in lines.select(schema.json_failures(F.col("t"), rule)).collect()]
+    assert got == [9, 1, None, 0, 1]
