@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ from foliomill.runtime import materialize, shuffle_partitions
 CONTEXT = 100  # characters of one block
 ROUNDS = ((4, True), (6, True), (9, False), (12, False), (16, False))  # (longest symbol made, whether runs are named too)
 CORPUS_ROUNDS = 3  # rounds over the corpus: symbols of two, three and four blocks
-CHUNK = 1 << 21  # characters worked on at once
+CHUNK = 1 << 19  # characters worked on at once
 FLUSH = 1 << 19  # blocks held before they are sent off
 BUCKET_BYTES = 4 << 20  # input bytes for each hash bucket
 BLOOM_BITS = 1 << 24  # 2 MB at most, whatever the corpus; fuller only means that more texts travel
@@ -385,11 +386,8 @@ def _windows(span: int):
     out, the others leave out too.
     """
 
-    def starts(at: list[dict], n: int) -> np.ndarray:
+    def starts(pos: np.ndarray, lo: np.ndarray, hi: np.ndarray, n: int) -> np.ndarray:
         half = CONTEXT // 2
-        pos = np.asarray([p["pos"] for p in at], dtype=np.int64)
-        lo = np.asarray([p["pos"] if p["lo"] is None else p["lo"] for p in at], dtype=np.int64)
-        hi = np.asarray([p["pos"] if p["hi"] is None else p["hi"] for p in at], dtype=np.int64)
         first, last = pos + half - span, pos - half
         whole = hi - lo < span
         lo, hi = np.where(whole, last + 1, lo), np.where(whole, last + 1, hi - span + 1)
@@ -405,9 +403,12 @@ def _windows(span: int):
         for batch in batches:
             held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
             total = 0
-            columns = [batch.column(c).to_pylist() for c in ("cls", "text", "at")]
-            for cls, text, at in zip(*columns):
-                start = starts(at, len(text))
+            at = batch.column("at")
+            cut = at.offsets.to_numpy()
+            pos, lo, hi = (pc.fill_null(at.values.field(c), 0).to_numpy().astype(np.int64) for c in ("pos", "lo", "hi"))
+            for i, (cls, text) in enumerate(zip(batch.column("cls").to_pylist(), batch.column("text"))):
+                text, here = text.as_py(), slice(cut[i], cut[i + 1])
+                start = starts(pos[here], lo[here], hi[here], len(text))
                 if not len(start):
                     continue
                 codes = _codes(text)
