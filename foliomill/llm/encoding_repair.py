@@ -8,31 +8,35 @@ the result, so that chains (a text garbled twice) and mixtures come out link by
 it is. Only words that come out wholly in the alphabet of the dictionaries' languages are changed, so correct parts of a
 partly garbled text and foreign words stay untouched.
 
-The dictionaries and the alphabet are fitted on a bounded sample of labelled rows (``SAMPLE_DOCS`` for each language, by
-hash of the id, of 100 to 20,000 characters each, which bounds what the driver holds); all texts are judged, whatever their
-length, in one pass without a shuffle.
+The dictionaries and the alphabet come from all labelled rows, whatever their length: characters, and words alone and with one
+or two that follow, are counted exactly, and a dictionary takes the stretches that save most until it is full. So it depends
+neither on the order of the rows nor on how they are partitioned. All texts are judged, whatever their length, in one pass
+without a shuffle.
 
 Defined results: null and blank texts are no cases. Replacement characters (U+FFFD) are a case even where the original
 cannot be known; they stay in the text. Rows are judged each, repeated rows too. Risk flags are not consulted. Extra
-columns are ignored; empty tables give no rows; an empty sample gives no dictionary and leaves every text unchanged.
+columns are ignored; empty tables give no rows; no labelled text gives no dictionary and leaves every text unchanged.
 """
 
 from __future__ import annotations
 
 import codecs
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_DOCS = 1500
 LANGUAGES = ("es", "en", "fr")
 DICTIONARY_BYTES = 110 * 1024
-ALPHABET_SHARE = 3e-6  # of the characters of a language's sample
+STRETCH = 3  # words that are counted together at most
+MATCH_BYTES = 3  # what a stretch costs where the dictionary has it
+FLUSH = 1 << 22  # characters whose counts a worker holds before it hands them on
+ALPHABET_SHARE = 3e-6  # of the characters of a language
 LINK_COST = 2  # bytes that each link of a chain must save
 DEPTH = 4  # links looked ahead where fewer do not pay; the chain itself may be longer
 #: Fixed values: (written as, read as).
@@ -97,7 +101,7 @@ class Link:
         return "".join(out) if inside else word
 
     def sure(self, word: str) -> bool:
-        """Whether the word, as it stands, is none of the sample's languages: a character they do not have, or a capital among
+        """Whether the word, as it stands, is none of the languages: a character they do not have, or a capital among
         small letters."""
         return self.wide or any(
             c >= "\x80" and (c not in self.alphabet or c.isupper() and word[i - 1 : i].islower()) for i, c in enumerate(word)
@@ -123,35 +127,74 @@ class Link:
 
 @dataclass(frozen=True)
 class Model:
-    """One dictionary for each language, and the letters beyond ASCII that their samples use."""
+    """One dictionary for each language, and the letters beyond ASCII that their texts use."""
 
     dictionaries: tuple[bytes, ...]
     alphabet: frozenset[str]
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on at most SAMPLE_DOCS rows of each language."""
-    labelled = docs.where(F.col(lang_col).isin(*LANGUAGES) & F.length(text_col).between(100, 20000))
-    sizes = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().collect()}  # a row for each language
-    dictionaries, alphabet = [], set()
-    for lang in LANGUAGES:
-        # a share of the ids by hash, so that no task sends more than its part of the sample
-        share = min(1.0, 1.2 * SAMPLE_DOCS / max(1, sizes.get(lang, 0)))
-        rows = labelled.where(F.col(lang_col) == lang).select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t"))
-        rows = rows.where(F.pmod("h", F.lit(1 << 30)) <= int(share * (1 << 30)))
-        texts = [r["t"] for r in rows.orderBy("h", "t").limit(SAMPLE_DOCS).select("t").collect()]
-        lines = [s.encode("utf-8", "replace") for t in texts for s in t.replace(". ", ".\n").split("\n") if s]
-        if len(lines) < 50:
-            continue
-        try:
-            dictionaries.append(zstandard.train_dictionary(DICTIONARY_BYTES, lines).as_bytes())
-        except zstandard.ZstdError:
-            dictionaries.append(b"\n".join(lines)[-DICTIONARY_BYTES:])
-        counts = Counter("".join(texts))
-        least = max(2, ALPHABET_SHARE * sum(counts.values()))
-        alphabet |= {x for c, n in counts.items() if n >= least and c > "\x7f" and c.isalpha() for x in (c, c.upper()) if len(x) == 1}
-        alphabet |= {c for c, n in counts.items() if n >= 10 * least and c > "\x9f" and c != REPLACEMENT}
-    return Model(tuple(dictionaries), frozenset(alphabet))
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, unit, n): how often each stretch of up to STRETCH words stands in the texts, in parts to be added up."""
+    counts: dict[str, Counter] = defaultdict(Counter)
+
+    def part() -> Iterator[pd.DataFrame]:
+        for lang, c in counts.items():
+            items = iter(c.items())
+            while rows := list(islice(items, 50_000)):
+                yield pd.DataFrame(rows, columns=["unit", "n"]).assign(lang=lang)[["lang", "unit", "n"]]
+        counts.clear()
+
+    held = 0
+    for batch in batches:
+        for lang, text in zip(batch["lang"], batch["t"]):
+            words = text.split()
+            for k in range(1, STRETCH + 1):
+                counts[lang].update(map(" ".join, zip(*(words[i:] for i in range(k)))))
+            held += len(text)
+            if held >= FLUSH:
+                yield from part()
+                held = 0
+    yield from part()
+
+
+def _dictionary(units: list[str]) -> bytes:
+    """The stretches that fit, the best ones last, where zstandard reaches them at least cost; what stands in better ones is left out."""
+    content = b""
+    for unit in units:
+        data = b" " + unit.encode("utf-8", "replace")
+        if len(content) + len(data) <= DICTIONARY_BYTES and data not in content:
+            content = data + content
+    return content
+
+
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Fit on all rows of each language."""
+    labelled = docs.select(F.lower(F.trim(lang_col)).alias("lang"), F.col(text_col).alias("t"))
+    labelled = labelled.where(F.col("lang").isin(*LANGUAGES) & F.col("t").isNotNull())
+    totals = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.sum(F.length("t")).alias("n")).collect()}
+    beyond = F.explode(F.split(F.regexp_replace("t", r"[\x00-\x7f]+", ""), ""))
+    counts = labelled.select("lang", beyond.alias("c")).where("c <> ''").groupBy("lang", "c").agg(F.count(F.lit(1)).alias("n"))
+    alphabet: set[str] = set()
+    for r in counts.where("n > 1").collect():  # a row for each character that comes twice
+        c, n, least = r["c"], r["n"], max(2, ALPHABET_SHARE * totals[r["lang"]])
+        if n >= least and c.isalpha():
+            alphabet |= {x for x in (c, c.upper()) if len(x) == 1}
+        if n >= 10 * least and c > "\x9f" and c != REPLACEMENT:
+            alphabet.add(c)
+    units = labelled.mapInPandas(_counted, "lang string, unit string, n bigint").groupBy("lang", "unit").agg(F.sum("n").alias("n"))
+    size = F.octet_length("unit") + 1  # with the blank before it
+    units = units.where((size > MATCH_BYTES) & (size <= DICTIONARY_BYTES)).withColumn("saved", F.col("n") * (1 - MATCH_BYTES / size))
+    # a dictionary has room for no more stretches than this; steps of what they save tell which ones come into question
+    room = DICTIONARY_BYTES // (MATCH_BYTES + 1)
+    units = units.withColumn("step", F.floor(F.log2("saved") * 16))
+    better = F.sum("k").over(Window.partitionBy("lang").orderBy(F.desc("step"))) - F.col("k")
+    steps = units.groupBy("lang", "step").agg(F.count(F.lit(1)).alias("k")).withColumn("better", better)
+    least_step = steps.where(F.col("better") < room).groupBy("lang").agg(F.min("step").alias("least"))  # a row for each language
+    units = units.join(F.broadcast(least_step), "lang").where("step >= least").select("lang", "saved", "unit")
+    ranked: dict[str, list[str]] = defaultdict(list)
+    for r in sorted(units.collect(), key=lambda r: (-r["saved"], r["unit"])):
+        ranked[r["lang"]].append(r["unit"])
+    return Model(tuple(_dictionary(ranked[lang]) for lang in LANGUAGES if lang in ranked), frozenset(alphabet))
 
 
 class Repairer:
@@ -235,7 +278,7 @@ class Repairer:
         return " ".join(words), chain
 
     def _odd(self, words: list[str]) -> bool:
-        """Whether characters are left that none of the sample's languages has."""
+        """Whether characters are left that none of the languages has."""
         return any(c > "\x7f" and c not in self.alphabet and c != REPLACEMENT for w in words if not w.isascii() for c in w)
 
 
